@@ -16,7 +16,7 @@ from churnkit.operators.clean import (
 from churnkit.operators.features import quantile_bins, risk_level
 from churnkit.operators.joins import inner_join, key_set_diff, left_chain, lookup, same_keys
 from churnkit.operators.latest import first_per_key, latest_per_key
-from churnkit.operators.order import continue_ids, dense_key, exact_quantiles, place_in_order
+from churnkit.operators.order import continue_ids, dense_key, place_in_order
 from churnkit.operators.project import (
     add_run_columns,
     append_rows,
@@ -24,6 +24,7 @@ from churnkit.operators.project import (
     keep_columns,
     rename_snake_case,
 )
+from churnkit.operators.ranks import exact_quantiles, quantiles, sketch_quantiles
 from churnkit.operators.stats import (
     column_modes,
     conditional_rate,
@@ -33,7 +34,6 @@ from churnkit.operators.stats import (
     missing_counts,
     outside_share,
     profile,
-    quantiles,
     require_rows,
     row_counts,
     topic_counts,

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from churnkit.functions.rules import number_or
 from churnkit.operators.latest import first_per_key
-from churnkit.operators.stats import column_modes, outside_share, quantiles
+from churnkit.operators.ranks import Marks, quantiles
+from churnkit.operators.stats import column_modes, outside_share
 
 Bounds = Mapping[str, tuple[float | None, float | None]]
 
@@ -99,14 +100,24 @@ def coerce_numbers(
 
 
 def outlier_shares(
-    df: DataFrame, columns: Sequence[str], rel_error: float = 0.01, reach: float = 1.5
+    df: DataFrame,
+    columns: Sequence[str],
+    rel_error: float = 0.01,
+    reach: float = 1.5,
+    quartiles: Marks | None = None,
 ) -> dict[str, float]:
-    """Share of rows outside ``q1 - reach*iqr .. q3 + reach*iqr``; columns without values are left out."""
+    """Share of rows outside ``q1 - reach*iqr .. q3 + reach*iqr``; columns without values are left out.
+
+    ``quartiles`` (first and third of each column) spares the pass that finds them.
+    """
+    if quartiles is None:
+        quartiles = quantiles(df, columns, [0.25, 0.75], rel_error)
     shares = {}
-    for name, marks in quantiles(df, columns, [0.25, 0.75], rel_error).items():
-        if len(marks) == 2:
-            slack = reach * (marks[1] - marks[0])
-            shares[name] = outside_share(name, marks[0] - slack, marks[1] + slack)
+    for name in columns:
+        if quartiles[name]:
+            q1, q3 = quartiles[name]
+            slack = reach * (q3 - q1)
+            shares[name] = outside_share(name, q1 - slack, q3 + slack)
     if not shares:
         return {}
     row = df.agg(*[share.alias(name) for name, share in shares.items()]).first()
@@ -114,10 +125,15 @@ def outlier_shares(
 
 
 def outlier_columns(
-    df: DataFrame, columns: Sequence[str], ratio: float = 0.01, rel_error: float = 0.01
+    df: DataFrame,
+    columns: Sequence[str],
+    ratio: float = 0.01,
+    rel_error: float = 0.01,
+    quartiles: Marks | None = None,
 ) -> list[str]:
     """Columns with more than ``ratio`` of their rows outside the fences."""
-    return [c for c, share in outlier_shares(df, columns, rel_error).items() if share > ratio]
+    shares = outlier_shares(df, columns, rel_error, quartiles=quartiles)
+    return [c for c, share in shares.items() if share > ratio]
 
 
 def cap(df: DataFrame, bounds: Bounds) -> DataFrame:
@@ -135,25 +151,13 @@ def cap(df: DataFrame, bounds: Bounds) -> DataFrame:
     return _replace(df, {c: capped(c, *b) for c, b in bounds.items()})
 
 
-def cap_bounds(
-    df: DataFrame,
-    upper: Sequence[str] = (),
-    two_sided: Sequence[str] = (),
-    probs: tuple[float, float] = (0.01, 0.99),
-    rel_error: float = 0.001,
-) -> Bounds:
-    """Caps for both kinds of column from one quantile pass."""
-    marks = quantiles(df, [*upper, *two_sided], probs, rel_error)
-    return {
-        c: (m[0] if c in two_sided else None, m[1]) for c, m in marks.items() if len(m) == 2
-    }
-
-
 def cap_upper(df: DataFrame, columns: Sequence[str], rel_error: float = 0.001) -> DataFrame:
     """Cap above the 99 % quantile."""
-    return cap(df, cap_bounds(df, upper=columns, rel_error=rel_error))
+    marks = quantiles(df, columns, [0.99], rel_error)
+    return cap(df, {c: (None, *m) for c, m in marks.items() if m})
 
 
 def cap_two_sided(df: DataFrame, columns: Sequence[str], rel_error: float = 0.001) -> DataFrame:
     """Cap below the 1 % and above the 99 % quantile."""
-    return cap(df, cap_bounds(df, two_sided=columns, rel_error=rel_error))
+    marks = quantiles(df, columns, [0.01, 0.99], rel_error)
+    return cap(df, {c: tuple(m) for c, m in marks.items() if m})

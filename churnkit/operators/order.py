@@ -1,4 +1,4 @@
-"""Work that needs one total order of a table: dense keys, id continuation, exact quantiles.
+"""Work that needs one total order of a table: dense keys and id continuation.
 
 A window without partitions would pull the table into one task. Instead rows are range-partitioned,
 sorted and written once; each row remembers its part and its place in it, and a small table of
@@ -7,10 +7,9 @@ part sizes turns these into global positions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from decimal import Decimal
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.scratch import materialize
@@ -48,10 +47,13 @@ def place_in_order(
     return materialize(placed, "placed", path)
 
 
-def _before(amount: str, *by: str):
-    """Running total of the earlier parts; the frame has one row per part (and group)."""
-    window = Window.partitionBy(*by).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(amount).over(window), F.lit(0))
+def part_starts(sizes: Mapping[int, int]) -> list[int]:
+    """Rows before each part, by part number."""
+    starts, total = [], 0
+    for part in range(max(sizes, default=-1) + 1):
+        starts.append(total)
+        total += sizes.get(part, 0)
+    return starts
 
 
 def dense_key(
@@ -78,12 +80,12 @@ def dense_key(
         df = materialize(df, "unkeyed").withColumn(_COPY, F.monotonically_increasing_id())
         order.append(_COPY)
     placed = place_in_order(df, order, path, keep=kept)
-    sizes = placed.groupBy(PART).agg(F.count("*").alias("_rows"))
-    offsets = sizes.select(PART, _before("_rows").alias("_offset"))
-    # One row per range partition, so the broadcast is bounded by the partition count.
-    return placed.join(F.broadcast(offsets), PART).select(
-        (F.col("_offset") + F.col(POS) + start).alias(key), *kept
-    )
+    # One number per range partition; as a literal it needs no join, and the planner still sees
+    # the size of the written table.
+    sizes = placed.groupBy(PART).agg(F.count("*").alias("n")).collect()
+    offsets = part_starts({r[PART]: r["n"] for r in sizes}) or [0]
+    offset = F.get(F.lit(offsets).cast("array<bigint>"), F.col(PART))
+    return placed.select((offset + F.col(POS) + start).alias(key), *kept)
 
 
 def continue_ids(
@@ -93,49 +95,3 @@ def continue_ids(
     highest = existing.agg(F.max(id_col)).first()[0]
     rows = new.drop(id_col)
     return dense_key(rows, id_col, order_by, distinct=distinct, start=(highest or 0) + 1)
-
-
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
-) -> dict[str, list[float]]:
-    """Smallest value whose share of rows at or below it reaches each probability.
-
-    One pass counts the values of all columns; the sorted counts give for every wanted rank the
-    part that holds it, and only those parts are read again. A column without values gets ``[]``.
-    """
-    names = list(dict.fromkeys(columns))
-    counts = (
-        df.select(*[F.col(c).cast("double").alias(c) for c in names])
-        .unpivot([], names, "name", "value")
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("name", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    placed = place_in_order(counts, ["name", "value"])
-    parts = placed.groupBy("name", PART).agg(F.sum("n").alias("n_part"))
-    totals = Window.partitionBy("name")
-    wanted = F.explode(F.array(*[F.lit(Decimal(str(p))) for p in probs]))
-    # At most (columns x parts) rows from here on.
-    targets = (
-        parts.select(
-            "name",
-            PART,
-            "n_part",
-            _before("n_part", "name").alias("before"),
-            F.sum("n_part").over(totals).alias("total"),
-        )
-        .select("*", wanted.alias("prob"))
-        .withColumn("rank", F.greatest(F.ceil(F.col("total") * F.col("prob")), F.lit(1)))
-        .filter((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("n_part")))
-        .select("name", PART, "before", "prob", "rank")
-    )
-    upto = F.sum("n").over(Window.partitionBy("name", "prob").orderBy("value"))
-    found = (
-        placed.join(F.broadcast(targets), ["name", PART])
-        .withColumn("upto", F.col("before") + upto)
-        .filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("n") < F.col("rank")))
-        .select("name", F.col("prob").cast("double").alias("prob"), "value")
-        .collect()
-    )
-    values = {(r["name"], r["prob"]): r["value"] for r in found}
-    return {c: [values[c, p] for p in map(float, probs) if (c, p) in values] for c in names}

@@ -1,4 +1,4 @@
-"""Counts, profiles, quantiles, modes and gates; each reads the table once for all columns."""
+"""Counts, profiles, modes and gates; each reads the table once for all columns."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from churnkit.operators.order import exact_quantiles
+from churnkit.operators.ranks import quantiles
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -62,18 +62,6 @@ def any_negative(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if seen[c]]
 
 
-def quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], rel_error: float = 0.01
-) -> dict[str, list[float]]:
-    """Quantiles of all columns in one go: a bounded sketch, or exact and distributed for error 0."""
-    names = list(dict.fromkeys(columns))
-    if not names:
-        return {}
-    if rel_error == 0:
-        return exact_quantiles(df, names, probs)
-    return dict(zip(names, df.approxQuantile(names, list(probs), rel_error)))
-
-
 def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """Most frequent non-missing text of each column, the lowest one on ties.
 

@@ -19,6 +19,7 @@ from churnkit.functions.rules import (
 from churnkit.operators import clean
 from churnkit.operators.features import quantile_bins
 from churnkit.operators.joins import inner_join
+from churnkit.operators.ranks import quantiles
 from churnkit.operators.project import add_run_columns, keep_columns, rename_snake_case
 from churnkit.operators.stats import numeric_columns, text_columns
 from churnkit.plans import values as v
@@ -72,15 +73,22 @@ def impute(df: DataFrame, rel_error: float = v.QUANTILE_ERROR) -> DataFrame:
     return clean.normalize_text(filled, texts)
 
 
-def cap_outliers(
-    df: DataFrame, rel_error: float = v.QUANTILE_ERROR, cap_error: float = v.CAP_ERROR
-) -> DataFrame:
-    """Cap the columns with many outliers; the label takes part, the key does not."""
-    chosen = clean.outlier_columns(df, numeric_columns(df, exclude=(KEY,)), v.OUTLIER_RATIO, rel_error)
+def cap_and_bin(df: DataFrame, rel_error: float = v.CAP_ERROR) -> DataFrame:
+    """Cap the columns with many outliers and add the revenue bins, from one quantile pass.
+
+    The label takes part in the outlier test, the key does not. Capping keeps the order of values,
+    so the quartiles of the capped revenue are the capped quartiles.
+    """
+    columns = numeric_columns(df, exclude=(KEY,))
+    marks = quantiles(df, columns, [0.01, 0.25, 0.5, 0.75, 0.99], rel_error)
+    quartiles = {c: [m[1], m[3]] if m else [] for c, m in marks.items()}
+    chosen = clean.outlier_columns(df, columns, v.OUTLIER_RATIO, quartiles=quartiles)
     both = signed(chosen)
-    return clean.cap(
-        df, clean.cap_bounds(df, [c for c in chosen if c not in both], both, rel_error=cap_error)
-    )
+    bounds = {c: (marks[c][0] if c in both else None, marks[c][4]) for c in chosen}
+    cuts = marks[v.VALUE_COLUMN][1:4]
+    if v.VALUE_COLUMN in bounds:
+        cuts = [min(cut, bounds[v.VALUE_COLUMN][1]) for cut in cuts]
+    return quantile_bins(clean.cap(df, bounds), v.VALUE_COLUMN, v.VALUE_SEGMENT, cuts=cuts)
 
 
 def add_row_features(df: DataFrame) -> DataFrame:
@@ -118,7 +126,8 @@ def add_row_features(df: DataFrame) -> DataFrame:
 
 
 def add_features(df: DataFrame, rel_error: float = v.QUANTILE_ERROR) -> DataFrame:
-    return add_row_features(quantile_bins(df, "avgrev", "clv_segment", rel_error=rel_error))
+    """All features of rows that are clean already."""
+    return add_row_features(quantile_bins(df, v.VALUE_COLUMN, v.VALUE_SEGMENT, rel_error=rel_error))
 
 
 def build_silver(
@@ -132,9 +141,10 @@ def build_silver(
 ) -> DataFrame:
     """Raw files to silver (lazy from the focused table on).
 
-    The joined table is written once; each statistic then scans only the columns it needs. The
-    number of passes does not depend on the number of columns.
+    The joined table is written once; four passes over it, whatever the number of columns, find
+    modes, medians, quantiles and outlier shares, each reading only the columns it needs.
+    ``rel_error`` is the rank error of the medians, ``cap_error`` that of caps and bins.
     """
     focused = materialize(focus(client, record, run_ts, filter_first), "focused", path)
     imputed = impute(focused, rel_error)
-    return add_features(cap_outliers(imputed, rel_error, cap_error), rel_error)
+    return add_row_features(cap_and_bin(imputed, cap_error))

@@ -89,6 +89,8 @@ POST_KEY = "post_id"
 CONSTANT_FILL = {"income": -1, "adults": 0, "prizm_social_one": "Unknown"}
 NO_TEXT = "Unknown"
 SIGNED_MARK = "change"
+VALUE_COLUMN = "avgrev"
+VALUE_SEGMENT = "clv_segment"
 OUTLIER_RATIO = 0.01
 QUANTILE_ERROR = 0.01
 CAP_ERROR = 0.001
