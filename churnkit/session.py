@@ -14,12 +14,24 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "churnkit", master: str | None = None, **settings: str) -> SparkSession:
-    """Get a session with the recommended settings; ``settings`` (dots as ``__``) win over them."""
+BYTES_PER_TASK = 128 << 20
+
+
+def build_session(
+    app: str = "churnkit", master: str | None = None, input_bytes: int | None = None, **settings: str
+) -> SparkSession:
+    """Get a session with the recommended settings; ``settings`` (dots as ``__``) win over them.
+
+    ``input_bytes`` sizes the shuffles so that a task's share fits in memory; adaptive execution
+    merges what turns out to be small.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    chosen = SETTINGS | {name.replace("__", "."): value for name, value in settings.items()}
+    sized = {}
+    if input_bytes:
+        sized["spark.sql.shuffle.partitions"] = str(max(200, -(-input_bytes // BYTES_PER_TASK)))
+    chosen = SETTINGS | sized | {name.replace("__", "."): value for name, value in settings.items()}
     for name, value in chosen.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
