@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query, rounded
-from checks.views import ctes, events, load, silver, view
+from checks.views import ctes, load, view
 from churnkit.operators import (
     cap_two_sided,
     cap_upper,
@@ -31,7 +31,6 @@ from churnkit.operators import (
     value_counts,
 )
 from churnkit.operators.stats import any_negative, outside_share
-from churnkit.plans import values as v
 
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 

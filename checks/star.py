@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.combining import LATEST_SQL
 from checks.registry import query, rounded
-from checks.views import ctes, events, silver, view
+from checks.views import ctes, customers, events, silver, view
 from churnkit.plans import insights, warehouse
 from churnkit.plans import values as v
 from churnkit.plans.scoring import score_customers
@@ -258,7 +258,7 @@ def all_dims(tables, silver_rows):
 
 @query("dim_customer", ctes("silver", more=DIM_CUSTOMER) + "SELECT * FROM dim_customer")
 def dim_customer(spark, sf_dir):
-    return warehouse.dim_customer(silver(spark, sf_dir))
+    return warehouse.dim_customer(customers(spark, sf_dir))
 
 
 @query("dim_customer_loyalty", ctes("silver", more=DIM_LOYALTY) + "SELECT * FROM dim_customer_loyalty")
@@ -268,7 +268,7 @@ def dim_customer_loyalty(spark, sf_dir):
 
 @query("dim_device", ctes("silver", more=DIM_DEVICE) + "SELECT * FROM dim_device")
 def dim_device(spark, sf_dir):
-    return warehouse.dim_device(silver(spark, sf_dir))
+    return warehouse.dim_device(customers(spark, sf_dir))
 
 
 @query("dim_date", ctes(*EVENT_VIEWS, more=EVENT_DIMS) + "SELECT * FROM dim_date")
@@ -304,7 +304,7 @@ def dim_risk_level(spark, sf_dir):
 )
 def fact_customer_care_call(spark, sf_dir):
     tables = event_tables(spark, sf_dir)
-    dims = event_dims(tables, silver(spark, sf_dir))
+    dims = event_dims(tables, customers(spark, sf_dir))
     return warehouse.fact_customer_care_call(tables[2], dims, ties=["event_id"])
 
 
@@ -314,7 +314,7 @@ def fact_customer_care_call(spark, sf_dir):
 )
 def fact_churn_risk(spark, sf_dir):
     tables = event_tables(spark, sf_dir)
-    dims = event_dims(tables, silver(spark, sf_dir))
+    dims = event_dims(tables, customers(spark, sf_dir))
     return warehouse.fact_churn_risk(tables[3], dims)
 
 
@@ -330,7 +330,7 @@ def usage_fact(tables, dims):
 )
 def fact_usage_network_event(spark, sf_dir):
     tables = event_tables(spark, sf_dir)
-    return usage_fact(tables, event_dims(tables, silver(spark, sf_dir)))
+    return usage_fact(tables, event_dims(tables, customers(spark, sf_dir)))
 
 
 SNAPSHOT_KEYS = "snapshot_key customer_key device_key loyalty_key date_key time_key".split()
@@ -354,7 +354,7 @@ def fact_customer_snapshot(spark, sf_dir):
 def usage_means(spark, sf_dir):
     """Means over usage-network pairs without forming the pairs."""
     _, network, usage = events(spark, sf_dir)
-    dims = {"dim_customer": warehouse.dim_customer(silver(spark, sf_dir))}
+    dims = {"dim_customer": warehouse.dim_customer(customers(spark, sf_dir))}
     return rounded(warehouse.usage_means_from_events(usage, network, dims))
 
 

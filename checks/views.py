@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from churnkit.functions.names import snake_case
 from churnkit.plans import values as v
-from churnkit.plans.silver import add_features
+from churnkit.plans.silver import add_features, add_row_features
 
 CALLS = """
 SELECT event_id, cast(user_id AS string) AS customer_id,
@@ -176,6 +176,11 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_features(view(spark, sf_dir, "silver_raw"), rel_error=0)
 
 
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows without the revenue bins, which the customer dimension does not hold."""
+    return add_row_features(view(spark, sf_dir, "silver_raw"))
+
+
 def ctes(*names: str, more: str = "") -> str:
     """``WITH`` clause for the oracle with the named views (``silver`` adds the features)."""
     parts = []

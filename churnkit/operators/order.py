@@ -83,8 +83,8 @@ def dense_key(
     # One number per range partition; as a literal it needs no join, and the planner still sees
     # the size of the written table.
     sizes = placed.groupBy(PART).agg(F.count("*").alias("n")).collect()
-    offsets = part_starts({r[PART]: r["n"] for r in sizes}) or [0]
-    offset = F.get(F.lit(offsets).cast("array<bigint>"), F.col(PART))
+    starts = part_starts({r[PART]: r["n"] for r in sizes}) or [0]
+    offset = F.expr(f"get(array({', '.join(f'{n}L' for n in starts)}), {PART})")
     return placed.select((offset + F.col(POS) + start).alias(key), *kept)
 
 
