@@ -11,6 +11,7 @@ from churnkit.plans import insights, warehouse
 from churnkit.plans import values as v
 from churnkit.plans.scoring import score_customers
 from churnkit.scratch import materialize
+from churnkit.together import together
 
 SCORED_SQL = (
     ",".join(LATEST_SQL.format(n) for n in ("calls", "network", "usage"))
@@ -241,19 +242,35 @@ def silver_table(spark, sf_dir):
     return materialize(silver(spark, sf_dir), "silver")
 
 
+def tables_and_silver(spark, sf_dir):
+    built = together(
+        spark,
+        {"tables": lambda: event_tables(spark, sf_dir), "silver": lambda: silver_table(spark, sf_dir)},
+    )
+    return built["tables"], built["silver"]
+
+
 def event_dims(tables, silver_rows):
-    return {
-        "dim_customer": warehouse.dim_customer(silver_rows),
-        "dim_date": warehouse.dim_date(tables),
-        "dim_time": warehouse.dim_time(tables),
-    }
+    return together(
+        silver_rows.sparkSession,
+        {
+            "dim_customer": lambda: warehouse.dim_customer(silver_rows),
+            "dim_date": lambda: warehouse.dim_date(tables),
+            "dim_time": lambda: warehouse.dim_time(tables),
+        },
+    )
 
 
 def all_dims(tables, silver_rows):
-    return event_dims(tables, silver_rows) | {
-        "dim_customer_loyalty": warehouse.dim_customer_loyalty(silver_rows),
-        "dim_device": warehouse.dim_device(silver_rows),
-    }
+    built = together(
+        silver_rows.sparkSession,
+        {
+            "events": lambda: event_dims(tables, silver_rows),
+            "dim_customer_loyalty": lambda: warehouse.dim_customer_loyalty(silver_rows),
+            "dim_device": lambda: warehouse.dim_device(silver_rows),
+        },
+    )
+    return built.pop("events") | built
 
 
 @query("dim_customer", ctes("silver", more=DIM_CUSTOMER) + "SELECT * FROM dim_customer")
@@ -342,7 +359,7 @@ SNAPSHOT_KEYS = "snapshot_key customer_key device_key loyalty_key date_key time_
     + f"SELECT {_rounded_columns([*SNAPSHOT_KEYS, *v.SNAPSHOT_MEASURES], LONG_DOUBLES)} FROM fact_snapshot",
 )
 def fact_customer_snapshot(spark, sf_dir):
-    tables, silver_rows = event_tables(spark, sf_dir), silver_table(spark, sf_dir)
+    tables, silver_rows = tables_and_silver(spark, sf_dir)
     return rounded(warehouse.fact_customer_snapshot(silver_rows, all_dims(tables, silver_rows)))
 
 
@@ -384,11 +401,17 @@ def _mart_sql(name: str, snapshot: list[str], customer: list[str], loyalty: list
     return f"SELECT {chosen} FROM (SELECT {', '.join(columns)} {MART_JOINS})"
 
 
-def mart_inputs(spark, sf_dir):
-    tables, silver_rows = event_tables(spark, sf_dir), silver_table(spark, sf_dir)
+def mart_inputs(spark, sf_dir, with_calls):
+    """Dimensions, and what the marts take from facts: snapshot, usage means and care means."""
+    tables, silver_rows = tables_and_silver(spark, sf_dir)
     dims = all_dims(tables, silver_rows)
-    usage = warehouse.usage_means_from_events(tables[0], tables[1], dims)
-    return tables, dims, warehouse.fact_customer_snapshot(silver_rows, dims), usage
+    tasks = {
+        "snapshot": lambda: warehouse.fact_customer_snapshot(silver_rows, dims),
+        "usage": lambda: warehouse.usage_means_from_events(tables[0], tables[1], dims),
+    }
+    if with_calls:
+        tasks["calls"] = lambda: warehouse.fact_customer_care_call(tables[2], dims, ties=["event_id"])
+    return dims, together(spark, tasks)
 
 
 @query(
@@ -400,9 +423,9 @@ def mart_inputs(spark, sf_dir):
     ),
 )
 def mart_customer_overview(spark, sf_dir):
-    tables, dims, snapshot, usage = mart_inputs(spark, sf_dir)
-    care = warehouse.care_means(warehouse.fact_customer_care_call(tables[2], dims, ties=["event_id"]))
-    return rounded(warehouse.mart_customer_overview(snapshot, dims, usage, care))
+    dims, built = mart_inputs(spark, sf_dir, with_calls=True)
+    care = warehouse.care_means(built["calls"])
+    return rounded(warehouse.mart_customer_overview(built["snapshot"], dims, built["usage"], care))
 
 
 @query(
@@ -410,5 +433,5 @@ def mart_customer_overview(spark, sf_dir):
     MARTS + _mart_sql("quality", v.QUALITY_SNAPSHOT, v.QUALITY_CUSTOMER, v.QUALITY_LOYALTY, list(v.USAGE_MEANS)),
 )
 def mart_network_service_quality(spark, sf_dir):
-    _, dims, snapshot, usage = mart_inputs(spark, sf_dir)
-    return rounded(warehouse.mart_network_service_quality(snapshot, dims, usage))
+    dims, built = mart_inputs(spark, sf_dir, with_calls=False)
+    return rounded(warehouse.mart_network_service_quality(built["snapshot"], dims, built["usage"]))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from churnkit.functions.names import snake_case
 from churnkit.plans import values as v
 from churnkit.plans.silver import add_features, add_row_features
+from churnkit.session import tune
 
 CALLS = """
 SELECT event_id, cast(user_id AS string) AS customer_id,
@@ -154,9 +155,8 @@ SILVER_SQL = (
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    # Event times carry no zone; every query reads and writes them as UTC.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    # Among others the zone: event times carry none, every query reads and writes them as UTC.
+    return tune(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

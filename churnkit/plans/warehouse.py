@@ -13,6 +13,7 @@ from churnkit.operators.project import distinct_union
 from churnkit.operators.stats import conditional_rate, means_by_key
 from churnkit.plans import values as v
 from churnkit.scratch import materialize
+from churnkit.together import together
 
 CUSTOMER = "customer_id"
 TIME = "event_time"
@@ -107,15 +108,18 @@ def build_dims(staging: Tables, with_run_times: bool = False) -> dict[str, DataF
     silver = staging["silver"]
     events = [staging[name] for name in ("usage", "network", "calls", "risk")]
     run_times = silver if with_run_times else None
-    return {
-        "dim_customer": dim_customer(silver),
-        "dim_customer_loyalty": dim_customer_loyalty(silver),
-        "dim_device": dim_device(silver),
-        "dim_date": dim_date(events, run_times),
-        "dim_time": dim_time(events, run_times),
-        "dim_issue_type": dim_issue_type(staging["calls"]),
-        "dim_risk_level": dim_risk_level(staging["risk"]),
-    }
+    return together(
+        silver.sparkSession,
+        {
+            "dim_customer": lambda: dim_customer(silver),
+            "dim_customer_loyalty": lambda: dim_customer_loyalty(silver),
+            "dim_device": lambda: dim_device(silver),
+            "dim_date": lambda: dim_date(events, run_times),
+            "dim_time": lambda: dim_time(events, run_times),
+            "dim_issue_type": lambda: dim_issue_type(staging["calls"]),
+            "dim_risk_level": lambda: dim_risk_level(staging["risk"]),
+        },
+    )
 
 
 # Facts
@@ -212,12 +216,16 @@ def fact_customer_snapshot(
 
 
 def build_facts(staging: Tables, dims: Tables, null_safe: bool = False) -> dict[str, DataFrame]:
-    return {
-        "fact_customer_snapshot": fact_customer_snapshot(staging["silver"], dims, null_safe),
-        "fact_customer_care_call": fact_customer_care_call(staging["calls"], dims),
-        "fact_usage_network_event": fact_usage_network_event(staging["usage"], staging["network"], dims),
-        "fact_churn_risk": fact_churn_risk(staging["risk"], dims),
-    }
+    usage, network = staging["usage"], staging["network"]
+    return together(
+        usage.sparkSession,
+        {
+            "fact_customer_snapshot": lambda: fact_customer_snapshot(staging["silver"], dims, null_safe),
+            "fact_customer_care_call": lambda: fact_customer_care_call(staging["calls"], dims),
+            "fact_usage_network_event": lambda: fact_usage_network_event(usage, network, dims),
+            "fact_churn_risk": lambda: fact_churn_risk(staging["risk"], dims),
+        },
+    )
 
 
 # Marts
