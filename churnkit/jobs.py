@@ -12,6 +12,7 @@ from churnkit.operators.stats import require_rows
 from churnkit.plans import values as v
 from churnkit.plans import warehouse
 from churnkit.plans.silver import build_silver
+from churnkit.scratch import clear
 from churnkit.session import build_session
 from churnkit.sinks import format_sink, full_refresh, jdbc_sink, parquet_sink, write_messages, write_silver
 from churnkit.sources import kafka_topics, read_csv, read_silver, require_inputs, split_malformed
@@ -121,8 +122,15 @@ def parser() -> argparse.ArgumentParser:
 
 def main(arguments: Sequence[str] | None = None) -> None:
     args = parser().parse_args(arguments)
-    options = _pairs(args.option)
     spark = build_session(f"churnkit-{args.job}")
+    try:
+        run(spark, args)
+    finally:
+        clear(spark)
+
+
+def run(spark: SparkSession, args: argparse.Namespace) -> None:
+    options = _pairs(args.option)
     if args.job == "silver":
         print(run_silver(spark, args.client, args.record, args.out, args.format), "rows")
     elif args.job == "load":

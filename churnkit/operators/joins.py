@@ -53,21 +53,29 @@ def salted_join(
     return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the data: eight bytes per value, text by its length."""
+    texts = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    row = df.agg(F.count("*").alias("n"), reduce(lambda a, b: a + b, texts, F.lit(0)).alias("text")).first()
+    return 8 * len(df.columns) * row["n"] + row["text"]
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,
     on: Sequence[str],
     take: Sequence[str],
     null_safe: bool = False,
-    max_broadcast_rows: int = 500_000,
+    max_broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Left join that takes columns of a dimension; both sides name the key columns alike.
 
-    The dimension is counted first: up to ``max_broadcast_rows`` it is broadcast, beyond that the
-    join shuffles with hot keys salted. A null key finds nothing unless ``null_safe``.
+    The needed columns of the dimension are measured first: up to ``max_broadcast_bytes`` they are
+    broadcast, beyond that the join shuffles with hot keys salted. A null key finds nothing unless
+    ``null_safe``.
     """
     small = dim.select(*on, *take)
-    if small.count() <= max_broadcast_rows:
+    if measured_bytes(small) <= max_broadcast_bytes:
         small = F.broadcast(small)
         if not null_safe:
             return df.join(small, list(on), "left")
@@ -79,8 +87,8 @@ def lookup(
 
 
 def inner_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Equi-join; the strategy is left to the planner and its size statistics."""
-    return left.join(right, list(on), "inner")
+    """Equi-join of any two tables; keys that are hot on the left are spread."""
+    return salted_join(left, right, on, "inner")
 
 
 def left_chain(first: DataFrame, *others: DataFrame, on: Sequence[str]) -> DataFrame:

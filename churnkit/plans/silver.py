@@ -18,7 +18,6 @@ from churnkit.functions.rules import (
 )
 from churnkit.operators import clean
 from churnkit.operators.features import quantile_bins
-from churnkit.operators.joins import inner_join
 from churnkit.operators.ranks import quantiles
 from churnkit.operators.project import add_run_columns, keep_columns, rename_snake_case
 from churnkit.operators.stats import numeric_columns, text_columns
@@ -45,10 +44,9 @@ def focus(
     record = record.select(*[c for c in record.columns if c in kept]).filter(F.col(v.CUSTOMER).isNotNull())
     if filter_first:
         record = clean.keep_labels(record, v.LABEL)
-    joined = inner_join(
-        clean.one_row_per_key(client, [v.CUSTOMER]),
-        clean.one_row_per_key(record, [v.CUSTOMER]),
-        [v.CUSTOMER],
+    # Both sides hold each key once and are partitioned by it, so a plain join is balanced.
+    joined = clean.one_row_per_key(client, [v.CUSTOMER]).join(
+        clean.one_row_per_key(record, [v.CUSTOMER]), [v.CUSTOMER]
     )
     if not filter_first:
         joined = clean.keep_labels(joined, v.LABEL)

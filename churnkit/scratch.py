@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+# Folders made by this process, by application.
+_made: dict[str, list[str]] = {}
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder the cluster names for checkpoints; a temporary one only in local mode where none is set."""
@@ -24,7 +27,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """Fresh folder name below the scratch root."""
-    return f"{scratch_root(spark)}/churnkit/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/churnkit/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str = "table", path: str | None = None) -> DataFrame:
@@ -37,3 +42,13 @@ def materialize(df: DataFrame, label: str = "table", path: str | None = None) ->
     path = path or new_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete the scratch tables this application made; frames that still read them end with them."""
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    return len(paths)

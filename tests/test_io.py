@@ -1,6 +1,7 @@
 """Files, topics and sinks."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import DataFrameWriter
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from churnkit.operators import coerce_numbers
 from churnkit.plans import values as v
+from churnkit.scratch import clear, materialize, new_path
 from churnkit.sinks import (
     SinkError,
     format_sink,
@@ -226,3 +228,13 @@ def test_warehouse_append_and_full_refresh(spark, tmp_path):
     publish({"mart_x": spark.range(3), "dim_x": spark.range(1)})
     assert spark.catalog.tableExists("mart_x") and not spark.catalog.getTable("mart_x").isTemporary
     assert spark.catalog.getTable("dim_x").isTemporary
+
+
+def test_scratch_folder_comes_from_the_session_and_is_cleared(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    path = new_path(spark, "x")
+    assert path.startswith(f"{root}/churnkit/x-")
+    table = materialize(spark.range(3), path=path)
+    assert table.count() == 3 and Path(path).exists()
+    assert clear(spark) >= 1
+    assert not Path(path).exists() and clear(spark) == 0

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnkit.operators import key_set_diff, latest_per_key, lookup, same_keys
-from churnkit.operators.joins import hot_fingerprints, salted_join
+from churnkit.operators.joins import hot_fingerprints, inner_join, measured_bytes, salted_join
 
 
 def bag(df):
@@ -32,17 +32,25 @@ def test_salted_join_refuses_other_kinds(skewed):
         salted_join(*skewed, ["k"], "full")
 
 
-@pytest.mark.parametrize("limit", [0, 500_000])
+@pytest.mark.parametrize("limit", [0, 1 << 20])
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_lookup_beyond_and_below_the_limit(skewed, limit, null_safe):
     left, right = skewed
-    out = lookup(left, right, ["k"], ["v"], null_safe=null_safe, max_broadcast_rows=limit)
+    out = lookup(left, right, ["k"], ["v"], null_safe=null_safe, max_broadcast_bytes=limit)
     same = left.k.eqNullSafe(right.k) if null_safe else left.k == right.k
     expected = left.join(right, same, "left").select(left.k, left.row, right.v)
     assert out.columns == ["k", "row", "v"]
     assert bag(out) == bag(expected)
 
 
+def test_inner_join_and_size(spark, skewed):
+    left, right = skewed
+    assert bag(inner_join(left, right, ["k"])) == bag(left.join(right, ["k"]))
+    text = spark.createDataFrame([(1, "ab"), (2, None)], "k int, t string")
+    assert measured_bytes(text) == 8 * 2 * 2 + 2
+    assert measured_bytes(text.filter("k > 5")) == 0
+
+
 def test_key_sets(spark):
     a = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     b = spark.createDataFrame([(2,), (3,), (None,)], "k int")
