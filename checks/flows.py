@@ -23,10 +23,19 @@ from churnkit.sources import (
     read_csv,
     read_silver,
     read_topics,
+    register_staging,
     require_inputs,
     split_malformed,
 )
-from churnkit.streaming import copy_topic, score_writer, start_batches, windowed
+from churnkit.streaming import (
+    batch_metrics,
+    copy_topic,
+    raw_writer,
+    score_writer,
+    start_batches,
+    watched,
+    windowed,
+)
 
 KINDS = {snake_case(f.split()[0]): f.split()[1] for f in (v.CLIENT_FIELDS + "," + v.RECORD_FIELDS).split(",")}
 KEPT = [snake_case(c) for c in v.KEPT_COLUMNS]
@@ -251,3 +260,45 @@ def stream_copy(spark, sf_dir):
         spark, topics, v.USAGE_FIELDS, sink, checkpoint=new_path(spark, "offsets"), every=None
     ).awaitTermination()
     return spark.read.parquet(out)
+
+
+@query(
+    "stream_metrics",
+    ctes("calls", "network", "usage")
+    + """
+    SELECT 'customer_care_calls' AS topic, count(*) AS n_rows FROM calls
+    UNION ALL SELECT 'network_events', count(*) FROM network
+    UNION ALL SELECT 'usage_events', count(*) FROM usage
+    """,
+)
+def stream_metrics(spark, sf_dir):
+    """Rows per topic, counted on the side while a stream is written."""
+    stream = read_topics(spark, file_topics(write_topics(spark, sf_dir)), v.TOPIC_FIELDS)
+    writer = raw_writer("events", {"files": parquet_sink(new_path(spark, "raw"))})
+    running = start_batches(watched(stream, list(v.TOPIC_FIELDS)), writer, new_path(spark, "offsets"), every=None)
+    running.awaitTermination()
+    batches = batch_metrics(running).values()
+    counts = [(topic, sum(b[topic] for b in batches)) for topic in v.TOPIC_FIELDS]
+    return spark.createDataFrame(counts, "topic string, n_rows long")
+
+
+@query(
+    "staging_views",
+    ctes("calls", "usage")
+    + """
+    SELECT customer_id, count(*) AS n_calls, (SELECT count(*) FROM usage u WHERE u.customer_id = c.customer_id) AS n_usage
+    FROM calls c GROUP BY customer_id
+    """,
+)
+def staging_views(spark, sf_dir):
+    """Plain SQL over named staging tables."""
+    calls, _, usage = events(spark, sf_dir)
+    register_staging({"calls": calls, "usage": usage})
+    return spark.sql(
+        """
+        SELECT c.customer_id, n_calls, coalesce(n_usage, 0) AS n_usage
+        FROM (SELECT customer_id, count(*) AS n_calls FROM stg_calls GROUP BY customer_id) c
+        LEFT JOIN (SELECT customer_id, count(*) AS n_usage FROM stg_usage GROUP BY customer_id) u
+          ON c.customer_id = u.customer_id
+        """
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
@@ -217,7 +217,7 @@ def snake_names(spark, sf_dir):
 )
 def run_columns(spark, sf_dir):
     suppliers = keep_columns(load(spark, sf_dir, "supplier"), ["s_suppkey"])
-    started = datetime(2024, 7, 1, 10, 0, tzinfo=timezone.utc)
+    started = datetime(2024, 7, 1, 10, 0)
     return add_run_columns(suppliers, "v1", "files", started)
 
 

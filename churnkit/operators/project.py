@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -36,8 +36,10 @@ def add_run_columns(
 ) -> DataFrame:
     """Add run time as wall time in ``zone``, code version and source tag.
 
-    Give ``run_ts`` (UTC) to make a run repeatable.
+    Give ``run_ts`` (taken as UTC if it names no zone) to make a run repeatable.
     """
+    if run_ts is not None and run_ts.tzinfo is None:
+        run_ts = run_ts.replace(tzinfo=timezone.utc)
     started = F.lit(run_ts) if run_ts is not None else F.current_timestamp()
     values = (F.from_utc_timestamp(started, zone), F.lit(version), F.lit(source))
     return df.withColumns(dict(zip(names, values)))
