@@ -45,7 +45,7 @@ WITH d AS (
         SELECT doc_id, host, unnest(list_transform(l,
             lambda x: trim(regexp_replace(lower(x), '[\x20\x09-\x0D]+', ' ', 'g')))) AS k FROM d)
 ), hosts AS (
-    SELECT host, count(doc_id) AS n FROM documents GROUP BY host
+    SELECT source AS host, count(doc_id) AS n FROM documents GROUP BY source
 ), heavy AS (
     SELECT lines.host, k FROM lines JOIN hosts ON lines.host IS NOT DISTINCT FROM hosts.host
     GROUP BY lines.host, k, n HAVING count(DISTINCT doc_id) > 20 AND count(DISTINCT doc_id) > n * 0.02

@@ -27,7 +27,7 @@ def make_folder(uri: str) -> None:
 
 def writer(uri: str) -> pa.NativeFile:
     system, path = located(uri)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)  # else a .gz name is packed twice
 
 
 def reader(uri: str) -> pa.NativeFile:
