@@ -1,6 +1,6 @@
 """All queries of this subpackage, the pipeline included."""
 
-from churnkit.llm import model_queries, native_queries, token_queries, warc_queries  # noqa: F401  (registration)
+from churnkit.llm import copies_queries, model_queries, native_queries, token_queries, warc_queries  # noqa: F401  (registration)
 from churnkit.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
