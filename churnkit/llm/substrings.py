@@ -251,10 +251,18 @@ def mark_repeated_windows(texts: DataFrame, window: int, bitmap: np.ndarray, bit
 
 
 def remove_repeats(
-    docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None
+    docs: DataFrame,
+    window: int = WINDOW,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: list[str] | None = None,
+    keep_whole: bool = False,
 ) -> DataFrame:
     """One row per input row: id, n_words, n_removed, kept (words joined by one space), and the ``carry`` columns.
 
+    With ``keep_whole`` a text that loses nothing stays as it is, white space included. Carried columns must have other
+    names than the four above.
+
     A word goes if a window over it, in its document, also starts earlier in the corpus: in a document with a
     smaller id, or further ahead in the same. Windows are judged on the input. Null texts count as empty.
     A missing id is the smallest. Rows that repeat an id are ordered by a hash of their text; rows that repeat id
@@ -302,7 +310,8 @@ def remove_repeats(
                 words = rows.column("_text")[i].as_py().split()
                 found = runs.get((NO_ID if doc is None else doc, rows.column("_mark")[i].as_py()))
                 kept = words if found is None else _uncovered(words, *found, window)
-                out.append((doc, len(words), len(words) - len(kept), b" ".join(kept).decode("utf-8", "replace")))
+                left = rows.column("_text")[i].as_py() if keep_whole and len(kept) == len(words) else b" ".join(kept)
+                out.append((doc, len(words), len(words) - len(kept), left.decode("utf-8", "replace")))
                 taken.append(i)
                 size += len(out[-1][3])
                 if size >= 4 << 20:
