@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import unicodedata
+from array import array
 
 import numpy as np
 import regex
@@ -17,6 +18,7 @@ from tokenizers import Tokenizer, models
 # Fixed value: the split pattern of this family of vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SPLIT = regex.compile(SPLIT)
+_MARKS = ".,;:!?#$%&*"
 # Characters whose case and normal form are the same in every library: printable ASCII and Latin letters.
 _PLAIN = regex.compile(r"[\x21-\x7eÀ-įı-ž]+")
 
@@ -28,6 +30,31 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def _split(word: str) -> list[str]:
+    """Pieces of a lower-cased plain word; most are letters, perhaps with a mark or two at the end."""
+    core = word.rstrip(_MARKS)
+    if core.isalpha():
+        return [core, word[len(core) :]] if len(core) < len(word) else [core]
+    return _SPLIT.findall(word)
+
+
+class _Pieces(dict):
+    """Maps a piece to its packed ids; words share most of their pieces."""
+
+    def __init__(self, model: models.BPE | None, code: str, limit: int):
+        super().__init__()
+        self.model, self.code, self.limit = model, code, limit
+        self.letters = _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.limit:
+            self.clear()
+        spelt = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        packed = array(self.code, [token.id for token in self.model.tokenize(spelt)]).tobytes()
+        self[piece] = packed
+        return packed
+
+
 class WordTokens(dict):
     """Maps a word's bytes to its ids, packed as little-endian unsigned integers of ``width`` bytes.
 
@@ -40,9 +67,10 @@ class WordTokens(dict):
         self.full.encode_special_tokens = True
         self.limit = limit
         self.kind = np.dtype("<u2" if self.full.get_vocab_size() <= 1 << 16 else "<u4")
-        self.letters = _byte_letters()
+        self.code = {2: "H", 4: "I"}[self.kind.itemsize]
         # The short way is taken only for files whose rules are the ones written out above.
         self.model = self.full.model if self._has_known_rules() else None
+        self.pieces = _Pieces(self.model, self.code, limit)
 
     def _has_known_rules(self) -> bool:
         rules = f"{self.full.normalizer!r} {self.full.pre_tokenizer!r}"
@@ -53,16 +81,10 @@ class WordTokens(dict):
         if len(self) >= self.limit:
             self.clear()
         text = word.decode("utf-8", "replace")
-        if self.model is not None and _PLAIN.fullmatch(text):
-            lowered = unicodedata.normalize("NFC", text).lower()
-            ids = [
-                token.id
-                for piece in _SPLIT.findall(lowered)
-                for token in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))
-            ]
+        if self.model is not None and ((text.isascii() and text.isprintable()) or _PLAIN.fullmatch(text)):
+            packed = b"".join(map(self.pieces.__getitem__, _split(unicodedata.normalize("NFC", text).lower())))
         else:
-            ids = self.full.encode(text, add_special_tokens=False).ids
-        packed = np.array(ids, self.kind).tobytes()
+            packed = array(self.code, self.full.encode(text, add_special_tokens=False).ids).tobytes()
         self[word] = packed
         return packed
 
