@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from churnkit.plans import insights
 from churnkit.plans import values as v
 from churnkit.plans.silver import build_silver
 from churnkit.scratch import new_path
-from churnkit.sinks import format_sink, parquet_sink, write_silver
+from churnkit.sinks import STAMPS, counts_sink, format_sink, parquet_sink, write_silver
 from churnkit.sources import (
     as_messages,
     file_topics,
@@ -28,13 +29,14 @@ from churnkit.sources import (
     split_malformed,
 )
 from churnkit.streaming import (
-    batch_metrics,
     copy_topic,
     raw_writer,
     score_writer,
     start_batches,
-    watched,
+    start_scoring,
+    start_windows,
     windowed,
+    windows_now,
 )
 
 KINDS = {snake_case(f.split()[0]): f.split()[1] for f in (v.CLIENT_FIELDS + "," + v.RECORD_FIELDS).split(",")}
@@ -192,24 +194,43 @@ def stream_score(spark, sf_dir):
     start_batches(
         stream, score_writer({"files": parquet_sink(out)}), new_path(spark, "offsets"), every=None
     ).awaitTermination()
-    return spark.read.parquet(out).drop("batch_id")
+    return spark.read.parquet(out).drop(*STAMPS)
+
+
+def in_files(spark, rows, time, first="old", files=3):
+    """Rows as files by ranges of time, oldest or newest file first; a stream takes one file a batch."""
+    path = new_path(spark, "files")
+    cuts = rows.agg(F.min(time).alias("low"), F.max(time).alias("high")).select(
+        F.col("low").cast("timestamp").cast("double"), F.col("high").cast("timestamp").cast("double")
+    ).first()
+    width = (cuts[1] - cuts[0]) / files
+    part = F.least(F.floor((F.col(time).cast("timestamp").cast("double") - cuts[0]) / width), F.lit(files - 1))
+    for i in range(files) if first == "old" else reversed(range(files)):
+        rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
+    return path
 
 
-def event_stream(spark, sf_dir):
-    """The event table as a stream of files."""
-    schema = load(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+def drain_windows(spark, stream, keys):
+    """Run a windowed summary over everything there is, in update mode, and read the latest windows."""
+    out = new_path(spark, "windows")
+    query = start_windows(stream, out, new_path(spark, "offsets"), every=None)
+    query.awaitTermination()
+    written = spark.read.parquet(out)
+    if written.select("batch_id").distinct().count() < 2:
+        raise RuntimeError("the stream was to take several batches")
+    return windows_now(written, keys)
 
 
-def drain_to_table(spark, stream):
-    """Run a windowed aggregation over everything there is and read its last result."""
-    out = new_path(spark, "windows")
+def event_stream(spark, sf_dir, first="old"):
+    """The event table as a stream of three files."""
+    rows = load(spark, sf_dir, "events")
+    path = in_files(spark, rows, "ts", first)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return stream.withColumn("event_time", F.col("ts").cast("timestamp"))
 
-    def replace(batch, batch_id):
-        batch.write.mode("overwrite").parquet(out)
 
-    start_batches(stream, replace, new_path(spark, "offsets"), every=None, mode="complete").awaitTermination()
-    return spark.read.parquet(out)
+def hourly(events):
+    return event_rate(events, "event_time", "1 hour", 3600, ["event_type"])
 
 
 @query(
@@ -220,16 +241,43 @@ def drain_to_table(spark, stream):
     """,
 )
 def stream_event_rate(spark, sf_dir):
-    stream = event_stream(spark, sf_dir).withColumn("event_time", F.col("ts").cast("timestamp"))
-    rates = windowed(stream, lambda e: event_rate(e, "event_time", "1 hour", 3600, ["event_type"]))
-    return rounded(drain_to_table(spark, rates))
+    """Hourly rates over several batches; closed windows leave the state."""
+    rates = windowed(event_stream(spark, sf_dir), hourly)
+    return rounded(drain_windows(spark, rates, ["window_start", "event_type"]))
+
+
+@query(
+    "late_rows",
+    """
+    WITH cuts AS (SELECT epoch(min(ts)) AS low, (epoch(max(ts)) - epoch(min(ts))) / 3 AS width FROM events),
+    parts AS (SELECT ts, event_type, least(floor((epoch(ts) - low) / width), 2) AS part FROM events, cuts),
+    marks AS (SELECT part, max(ts) OVER (ORDER BY part DESC RANGE BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
+      - INTERVAL 10 MINUTE AS mark, ts, event_type FROM parts)
+    SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n_events FROM marks
+    WHERE mark IS NULL OR date_trunc('hour', ts) + INTERVAL 1 HOUR > mark GROUP BY ALL
+    """,
+)
+def late_rows(spark, sf_dir):
+    """The newest file first: what the watermark drops of the older ones, and what it still takes in.
+
+    A batch judges lateness by the watermark that the batch before it went by.
+    """
+    rates = windowed(event_stream(spark, sf_dir, "new"), hourly)
+    written = new_path(spark, "windows")
+    start_windows(rates, written, new_path(spark, "offsets"), every=None).awaitTermination()
+    now = windows_now(spark.read.parquet(written), ["window_start", "event_type"])
+    return now.drop("events_per_sec")
 
 
 @query("stream_network_trend", NETWORK_TREND_SQL)
 def stream_network_trend(spark, sf_dir):
-    topics = file_topics(write_topics(spark, sf_dir), v.NETWORK_TOPIC)
-    stream = read_topics(spark, topics, {v.NETWORK_TOPIC: v.NETWORK_FIELDS})
-    return rounded(drain_to_table(spark, windowed(stream, insights.network_trend)))
+    """Network trend over several batches of messages."""
+    messages = spark.read.parquet(write_topics(spark, sf_dir)).where(F.col("topic") == v.NETWORK_TOPIC)
+    sent = messages.withColumn("sent", F.get_json_object("value", "$.event_time"))
+    path = in_files(spark, sent, "sent")
+    topics = file_topics(path, v.NETWORK_TOPIC, files_per_trigger=1)
+    stream = windowed(read_topics(spark, topics, {v.NETWORK_TOPIC: v.NETWORK_FIELDS}), insights.network_trend)
+    return rounded(drain_windows(spark, stream, [stream.columns[0]]))
 
 
 COPIED = (
@@ -247,7 +295,7 @@ def batch_copy(spark, sf_dir):
     out = new_path(spark, "copy")
     topics = file_topics(write_topics(spark, sf_dir), v.USAGE_TOPIC)
     copy_topic(spark, topics, v.USAGE_FIELDS, format_sink("parquet", path=out), mode="batch")
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop(*STAMPS)
 
 
 @query("stream_copy", COPIED)
@@ -259,27 +307,77 @@ def stream_copy(spark, sf_dir):
     copy_topic(
         spark, topics, v.USAGE_FIELDS, sink, checkpoint=new_path(spark, "offsets"), every=None
     ).awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop(*STAMPS)
 
 
-@query(
-    "stream_metrics",
-    ctes("calls", "network", "usage")
-    + """
+def topic_files(spark, sf_dir, topic_rows="topics"):
+    """All messages in several files, a batch each."""
+    messages = spark.read.parquet(write_topics(spark, sf_dir))
+    path = new_path(spark, topic_rows)
+    messages.repartition(4, F.xxhash64("key", "value")).write.parquet(path)
+    return partial(file_topics, path, files_per_trigger=1)
+
+
+TOPIC_ROWS = ctes("calls", "network", "usage") + """
     SELECT 'customer_care_calls' AS topic, count(*) AS n_rows FROM calls
     UNION ALL SELECT 'network_events', count(*) FROM network
     UNION ALL SELECT 'usage_events', count(*) FROM usage
-    """,
-)
+    """
+
+
+@query("stream_metrics", TOPIC_ROWS)
 def stream_metrics(spark, sf_dir):
-    """Rows per topic, counted on the side while a stream is written."""
-    stream = read_topics(spark, file_topics(write_topics(spark, sf_dir)), v.TOPIC_FIELDS)
-    writer = raw_writer("events", {"files": parquet_sink(new_path(spark, "raw"))})
-    running = start_batches(watched(stream, list(v.TOPIC_FIELDS)), writer, new_path(spark, "offsets"), every=None)
-    running.awaitTermination()
-    batches = batch_metrics(running).values()
-    counts = [(topic, sum(b[topic] for b in batches)) for topic in v.TOPIC_FIELDS]
-    return spark.createDataFrame(counts, "topic string, n_rows long")
+    """Rows per topic over all batches, although Spark itself remembers the last one only."""
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, "1")
+    try:
+        stream = read_topics(spark, topic_files(spark, sf_dir)(), v.TOPIC_FIELDS)
+        counts = new_path(spark, "counts")
+        sinks = {"files": parquet_sink(new_path(spark, "raw")), "counts": counts_sink(counts)}
+        start_batches(stream, raw_writer("events", sinks), new_path(spark, "offsets"), every=None).awaitTermination()
+    finally:
+        spark.conf.set(kept, before)
+    written = spark.read.parquet(counts)
+    if written.select("batch_id").distinct().count() < 3:
+        raise RuntimeError("the stream was to take several batches")
+    return written.groupBy("topic").agg(F.sum("n_rows").alias("n_rows"))
+
+
+@query(
+    "two_runs_one_folder",
+    ctes("usage") + "SELECT customer_id, voice_minutes, 4 * count(*) AS n_rows FROM usage GROUP BY ALL",
+)
+def two_runs_one_folder(spark, sf_dir):
+    """Two streams with checkpoints of their own, one of them restarted, and two copies share a folder."""
+    reader, out = topic_files(spark, sf_dir), new_path(spark, "shared")
+    sink = parquet_sink(out)
+    checkpoints = [new_path(spark, "offsets") for _ in range(2)]
+    for checkpoint in (*checkpoints, checkpoints[0]):
+        stream = read_topics(spark, reader(v.USAGE_TOPIC), {v.USAGE_TOPIC: v.USAGE_FIELDS})
+        start_batches(stream.drop("topic"), raw_writer("usage", {"files": sink}), checkpoint, every=None).awaitTermination()
+    for _ in range(2):
+        copy_topic(spark, file_topics(write_topics(spark, sf_dir), v.USAGE_TOPIC), v.USAGE_FIELDS, sink, mode="batch")
+    rows = spark.read.parquet(out)
+    return rows.groupBy("customer_id", "voice_minutes").agg(F.count("*").alias("n_rows"))
+
+
+@query("raw_topics", TOPIC_ROWS.replace("count(*) AS n_rows", "count(*) AS n_rows, count(DISTINCT customer_id) AS n_customers").replace("count(*) FROM", "count(*), count(DISTINCT customer_id) FROM"))
+def raw_topics(spark, sf_dir):
+    """The scoring service's raw folders, read back after several batches of each topic."""
+    root = new_path(spark, "service")
+    names = [*v.TOPIC_FIELDS, "churn_risk"]
+    sinks = {n: {"files": parquet_sink(f"{root}/{n}")} for n in names}
+    for running in start_scoring(spark, topic_files(spark, sf_dir), sinks, new_path(spark, "offsets"), every=None):
+        running.awaitTermination()
+    parts = []
+    for topic in v.TOPIC_FIELDS:
+        rows = spark.read.parquet(f"{root}/{topic}")
+        if rows.select("batch_id").distinct().count() < 2:
+            raise RuntimeError("the stream was to take several batches")
+        counted = rows.agg(F.count("*").alias("n_rows"), F.countDistinct("customer_id").alias("n_customers"))
+        parts.append(counted.select(F.lit(topic).alias("topic"), "*"))
+    return append_rows(append_rows(parts[0], parts[1]), parts[2])
 
 
 @query(

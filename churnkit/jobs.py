@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,7 +60,7 @@ def run_warehouse(spark: SparkSession, staging: Mapping[str, DataFrame], out: st
 
 def run_scoring(
     spark: SparkSession,
-    reader: TopicReader,
+    reader_of: Callable[..., TopicReader],
     out: str,
     checkpoint: str,
     jdbc_url: str | None = None,
@@ -72,7 +73,7 @@ def run_scoring(
         sinks[name] = {"files": parquet_sink(f"{out}/{name}")}
         if jdbc_url:
             sinks[name]["database"] = jdbc_sink(jdbc_url, f"{name}_tbl", jdbc or {})
-    queries = start_scoring(spark, reader, sinks, checkpoint, every)
+    queries = start_scoring(spark, reader_of, sinks, checkpoint, every)
     if every is None:
         for query in queries:
             query.awaitTermination()
@@ -116,6 +117,12 @@ def parser() -> argparse.ArgumentParser:
     copy = job("copy", "servers", "topic", "format")
     copy.add_argument("--mode", choices=("stream", "batch"), default="stream")
     copy.add_argument("--checkpoint")
+    copy.add_argument(
+        "--skip-lost-offsets", action="store_true", help="go on where the broker has dropped messages; else fail"
+    )
+    copy.add_argument(
+        "--at-least-once", action="store_true", help="accept that a retried batch may be appended twice"
+    )
     job("replay", "csv", "topic", "servers")
     return top
 
@@ -140,11 +147,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         for name, n in run_warehouse(spark, staging, args.out).items():
             print(name, n, "rows")
     elif args.job == "score":
-        reader = kafka_topics(args.servers, *v.TOPIC_FIELDS, rows_per_trigger=v.ROWS_PER_TRIGGER)
-        run_scoring(spark, reader, args.out, args.checkpoint, args.jdbc_url, options)
+        reader_of = partial(kafka_topics, args.servers, rows_per_trigger=v.ROWS_PER_TRIGGER)
+        run_scoring(spark, reader_of, args.out, args.checkpoint, args.jdbc_url, options)
     elif args.job == "copy":
-        reader = kafka_topics(args.servers, args.topic, rows_per_trigger=None, fail_on_data_loss=False)
-        sink = format_sink(args.format, **options)
+        reader = kafka_topics(
+            args.servers, args.topic, rows_per_trigger=None, fail_on_data_loss=not args.skip_lost_offsets
+        )
+        sink = format_sink(args.format, at_least_once=args.at_least_once, **options)
         query = copy_topic(spark, reader, v.POST_FIELDS, sink, args.mode, args.checkpoint)
         if query is not None:
             query.awaitTermination()

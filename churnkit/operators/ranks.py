@@ -58,6 +58,10 @@ def sketch_quantiles(
     return {c: found.get(c, []) for c in columns}
 
 
+def _literal(x: float) -> str:
+    return f"double('{x!r}')" if math.isinf(x) else f"{x!r}D"
+
+
 def _snapped(name: str, cuts: Sequence[float | None]) -> str:
     """Values outside the intervals ``cuts = [low, high, low, high, ..]`` moved up to the next low end.
 
@@ -68,8 +72,10 @@ def _snapped(name: str, cuts: Sequence[float | None]) -> str:
     branches = []
     for low, high in zip(cuts[::2], cuts[1::2]):
         if low is not None:
-            branches.append(f"WHEN `{name}` <= {low!r}D THEN {low!r}D")
-        branches.append(f"WHEN `{name}` <= {high!r}D THEN `{name}`" if high is not None else f"WHEN true THEN `{name}`")
+            branches.append(f"WHEN `{name}` <= {_literal(low)} THEN {_literal(low)}")
+        branches.append(
+            f"WHEN `{name}` <= {_literal(high)} THEN `{name}`" if high is not None else f"WHEN true THEN `{name}`"
+        )
     rest = f"WHEN `{name}` IS NOT NULL THEN double('Infinity')"
     return f"CASE WHEN `{name}` IS NULL THEN NULL {' '.join(branches)} {rest} END AS `{name}`"
 

@@ -1,4 +1,14 @@
-from churnkit.sinks.batches import SinkError, format_sink, jdbc_sink, parquet_sink, write_to_all
+from churnkit.sinks.batches import (
+    STAMPS,
+    SinkError,
+    counts_sink,
+    folder_sink,
+    format_sink,
+    jdbc_clear,
+    jdbc_sink,
+    parquet_sink,
+    write_to_all,
+)
 from churnkit.sinks.tables import (
     full_refresh,
     publish,
@@ -7,9 +17,13 @@ from churnkit.sinks.tables import (
 )
 
 __all__ = [
+    "STAMPS",
     "SinkError",
+    "counts_sink",
+    "folder_sink",
     "format_sink",
     "full_refresh",
+    "jdbc_clear",
     "jdbc_sink",
     "parquet_sink",
     "publish",

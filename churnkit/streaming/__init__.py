@@ -6,8 +6,10 @@ from churnkit.streaming.queries import (
     score_writer,
     start_batches,
     start_scoring,
+    start_windows,
     watched,
     windowed,
+    windows_now,
 )
 
 __all__ = [
@@ -18,6 +20,8 @@ __all__ = [
     "score_writer",
     "start_batches",
     "start_scoring",
+    "start_windows",
     "watched",
     "windowed",
+    "windows_now",
 ]

@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from churnkit.operators.latest import latest_per_key
 from churnkit.operators.stats import topic_counts
 from churnkit.plans import values as v
 from churnkit.plans.scoring import score_events
-from churnkit.sinks.batches import Sink, write_to_all
+from churnkit.sinks.batches import BATCH, RUN, Sink, parquet_sink, write_to_all
 from churnkit.sources.topics import TopicReader, parse_topic, parse_topics
 
 log = logging.getLogger(__name__)
@@ -22,18 +23,24 @@ BatchWriter = Callable[[DataFrame, int], None]
 METRICS = "batch"
 
 
-def raw_writer(label: str, sinks: Mapping[str, Sink]) -> BatchWriter:
-    """Write each non-empty micro-batch to all sinks from one read of the source."""
+def raw_writer(label: str, sinks: Mapping[str, Sink], bounded: bool = False) -> BatchWriter:
+    """Write each non-empty micro-batch to all sinks.
+
+    A micro-batch is kept while it is written, so that all sinks and the look for rows share one read. A
+    ``bounded`` read of a whole topic for a single sink is not kept, and is written without looking for rows first.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.persist()
+        kept = not bounded or len(sinks) > 1
+        rows = batch.persist() if kept else batch
         try:
-            if rows.isEmpty():
+            if not bounded and rows.isEmpty():
                 log.info("%s: batch %d is empty", label, batch_id)
                 return
             write_to_all(rows, batch_id, sinks)
         finally:
-            rows.unpersist()
+            if kept:
+                rows.unpersist()
 
     return write
 
@@ -87,23 +94,24 @@ def start_batches(
 
 def start_scoring(
     spark: SparkSession,
-    reader: TopicReader,
+    reader_of: Callable[..., TopicReader],
     sinks: Mapping[str, Mapping[str, Sink]],
     checkpoint: str,
     every: str | None = v.TRIGGER,
 ) -> list[StreamingQuery]:
     """One raw query per topic and the scoring query, each with its own checkpoint.
 
+    ``reader_of(*topics)`` gives a reader of these topics only: each raw query subscribes to its own, so that
+    no message is fetched for a query that drops it and rate limits are not shared.
     ``sinks`` holds the sinks of every topic and of ``"churn_risk"``.
     """
     queries = []
     for topic, fields in v.TOPIC_FIELDS.items():
-        messages = reader(spark, True).filter(F.col("topic") == topic)
-        stream = parse_topic(messages, fields, watermark=v.WATERMARK)
+        stream = parse_topic(reader_of(topic)(spark, True), fields, watermark=v.WATERMARK)
         queries.append(
             start_batches(stream, raw_writer(topic, sinks[topic]), f"{checkpoint}/{topic}", topic, every)
         )
-    events = parse_topics(reader(spark, True), v.TOPIC_FIELDS, watermark=v.WATERMARK)
+    events = parse_topics(reader_of(*v.TOPIC_FIELDS)(spark, True), v.TOPIC_FIELDS, watermark=v.WATERMARK)
     scores = score_writer(sinks["churn_risk"])
     queries.append(start_batches(events, scores, f"{checkpoint}/churn_risk", "churn_risk", every))
     return queries
@@ -123,10 +131,13 @@ def copy_topic(
     checkpoint: str | None = None,
     every: str | None = v.TRIGGER,
 ) -> StreamingQuery | None:
-    """Copy parsed messages to a sink: continuously (``stream``) or what is there now (``batch``)."""
+    """Copy parsed messages to a sink: continuously (``stream``) or what is there now (``batch``).
+
+    Every batch copy is a run of its own and adds to what is there.
+    """
     if mode == "batch":
         rows = parse_topic(reader(spark, False), fields, time=None)
-        raw_writer("copy", {"sink": sink})(rows, 0)
+        raw_writer("copy", {"sink": sink}, bounded=True)(rows, 0)
         return None
     if mode != "stream":
         raise ValueError("mode is 'stream' or 'batch'")
@@ -143,7 +154,10 @@ def watched(stream: DataFrame, topics: Sequence[str] = (), name: str = METRICS)
 
 
 def batch_metrics(query: StreamingQuery, name: str = METRICS) -> dict[int, dict[str, int]]:
-    """Metrics of ``watched`` per recent batch id."""
+    """Metrics of ``watched`` for the batches that Spark still remembers, a hundred unless set otherwise.
+
+    For watching a running query; ``sinks.counts_sink`` keeps the counts of every batch.
+    """
     found = {}
     for progress in query.recentProgress:
         row = progress["observedMetrics"].get(name)
@@ -158,3 +172,23 @@ def windowed(
 ) -> DataFrame:
     """Apply a windowed summary (event rate, score or network trend) to a stream with a watermark."""
     return summarize(stream.withWatermark(time, watermark))
+
+
+def windows_writer(path: str) -> BatchWriter:
+    """Keep each batch's new or changed windows; for queries in update mode."""
+    return raw_writer("windows", {"windows": parquet_sink(path)})
+
+
+def start_windows(
+    stream: DataFrame, path: str, checkpoint: str, name: str | None = None, every: str | None = v.TRIGGER
+) -> StreamingQuery:
+    """Run a windowed summary in update mode: Spark forgets windows that the watermark has passed.
+
+    Only changed windows are written; ``windows_now`` reads the latest state of each.
+    """
+    return start_batches(stream, windows_writer(path), checkpoint, name, every, mode="update")
+
+
+def windows_now(written: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The latest state of every window of one run of ``start_windows``: the last batch that changed it."""
+    return latest_per_key(written, list(keys), BATCH, []).drop(RUN, BATCH)

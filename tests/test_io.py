@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from churnkit.operators import coerce_numbers
 from churnkit.plans import values as v
 from churnkit.scratch import clear, materialize, new_path
+from churnkit.sinks import batches
 from churnkit.sinks import (
     SinkError,
+    counts_sink,
     format_sink,
     full_refresh,
     jdbc_sink,
@@ -182,10 +184,55 @@ def test_messages_to_any_format(spark, tmp_path):
 def test_batch_folder_is_replaced_on_retry(spark, tmp_path):
     path = str(tmp_path / "batches")
     sink = parquet_sink(path)
-    sink(spark.range(3), 0)
-    sink(spark.range(5), 1)
-    sink(spark.range(3), 0)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "one query")
+    try:
+        sink(spark.range(3), 0)
+        sink(spark.range(5), 1)
+        sink(spark.range(3), 0)
+    finally:
+        spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
     assert spark.read.parquet(path).groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, 3), (1, 5)]
+    # Outside of the query the same batch id is another run, and takes nothing away.
+    sink(spark.range(2), 0)
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_failed_batch_of_a_connector_is_cleared_before_the_retry(spark, tmp_path):
+    """A data source without folders to replace: its first attempt fails after the rows are in."""
+    path, cleared = str(tmp_path / "rows"), []
+
+    def clear(run, batch_id):
+        cleared.append((run, batch_id))
+        if (tmp_path / "rows").exists():
+            kept = spark.read.text(path).filter(~F.col("value").startswith(f"{run},{batch_id},")).collect()
+            spark.createDataFrame(kept, "value string").coalesce(1).write.mode("overwrite").text(path)
+
+    sink = format_sink("text", clear_batch=clear, path=path)
+    stamped = batches.stamped
+    attempts = []
+
+    def lines(batch, run, batch_id):
+        attempts.append(batch_id)
+        return stamped(batch, run, batch_id).select(F.concat_ws(",", "run_id", "batch_id", "id").alias("value"))
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(batches, "stamped", lines)
+        patch.setattr(batches, "run_of", lambda batch: "r")
+        for _ in range(2):
+            sink(spark.range(3), 4)
+    assert attempts == [4, 4] and cleared == [("r", 4)] * 2
+    assert sorted(r.value for r in spark.read.text(path).collect()) == ["r,4,0", "r,4,1", "r,4,2"]
+    with pytest.raises(ValueError, match="at_least_once"):
+        format_sink("warehouse", table="t")
+
+
+def test_counts_of_every_batch_stay(spark, tmp_path):
+    path = str(tmp_path / "counts")
+    rows = spark.createDataFrame([("a",), ("a",), ("b",)], "topic string")
+    for batch_id in range(3):
+        counts_sink(path)(rows, batch_id)
+    found = spark.read.parquet(path).groupBy("topic").agg(F.sum("n_rows")).collect()
+    assert sorted(map(tuple, found)) == [("a", 6), ("b", 3)]
 
 
 def test_every_sink_gets_its_turn_and_failure_is_raised(spark, tmp_path):
@@ -209,11 +256,11 @@ def test_database_sink_options(spark, monkeypatch):
 
     monkeypatch.setattr(DataFrameWriter, "jdbc", record)
     cleared = []
-    sink = jdbc_sink("jdbc:x", "scores", {"user": "u"}, clear_batch=cleared.append)
+    sink = jdbc_sink("jdbc:x", "scores", {"user": "u"}, clear_batch=lambda run, batch: cleared.append((len(run), batch)))
     sink(spark.range(1), 7)
-    assert cleared == [7]
+    assert cleared == [(36, 7)]
     assert calls == [
-        ("jdbc:x", "scores", "append", {"user": "u", "batchsize": "1000", "numPartitions": "4"}, ["id", "batch_id"])
+        ("jdbc:x", "scores", "append", {"user": "u", "batchsize": "1000", "numPartitions": "4"}, ["id", "run_id", "batch_id"])
     ]
 
 

@@ -1,5 +1,7 @@
 """The runnable jobs, end to end on files."""
 
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ def test_topics_to_warehouse(spark, silver_dir, tmp_path):
         text = df.select("customer_id", *measures, F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("event_time"))
         messages = as_messages(text, "customer_id", topic).withColumn("timestamp", F.current_timestamp())
         messages.write.mode("append").parquet(topics)
-    jobs.run_scoring(spark, file_topics(topics), out, str(tmp_path / "offsets"), every=None)
+    jobs.run_scoring(spark, partial(file_topics, topics), out, str(tmp_path / "offsets"), every=None)
     staging = {"silver": spark.read.parquet(silver_dir)}
     for name, folder in (("usage", v.USAGE_TOPIC), ("network", v.NETWORK_TOPIC), ("calls", v.CALLS_TOPIC), ("risk", jobs.SCORE_TABLE)):
         staging[name] = spark.read.parquet(f"{out}/{folder}")

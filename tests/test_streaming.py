@@ -1,5 +1,7 @@
 """Streams: equal to the batch result, restartable, no rows lost to a failing sink."""
 
+from functools import partial
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from churnkit.operators import event_rate
 from churnkit.plans import insights
 from churnkit.plans import values as v
 from churnkit.plans.scoring import score_events
-from churnkit.sinks import parquet_sink
+from churnkit.sinks import STAMPS, parquet_sink
 from churnkit.sources import as_messages, file_topics, parse_topics, read_topic, read_topics
 from churnkit.streaming import (
     await_any,
@@ -63,7 +65,7 @@ def test_raw_topic_in_several_batches_and_restart(spark, topic_dir, tmp_path):
 
     query = run()
     written = spark.read.parquet(out)
-    assert bag(written.drop("batch_id")) == bag(expected)
+    assert bag(written.drop(*STAMPS)) == bag(expected)
     assert written.select("batch_id").distinct().count() == 3
     assert sum(m["n_rows"] for m in batch_metrics(query).values()) == expected.count()
     run()
@@ -77,7 +79,7 @@ def test_scores_of_one_batch_equal_the_batch_result(spark, topic_dir, tmp_path):
     writer = score_writer({"files": parquet_sink(out)}, lambda batch_id, m: reports.update({batch_id: m}))
     start_batches(stream, writer, str(tmp_path / "offsets"), every=None).awaitTermination()
     events = parse_topics(spark.read.parquet(topic_dir), v.TOPIC_FIELDS)
-    assert bag(spark.read.parquet(out).drop("batch_id")) == bag(score_events(events))
+    assert bag(spark.read.parquet(out).drop(*STAMPS)) == bag(score_events(events))
     counts = {r.topic: r["count"] for r in events.groupBy("topic").count().collect()}
     assert {t: r["n_rows"] for t, r in reports[0]["topics"].items()} == counts
     assert 0 < len(reports[0]["sample"]) <= 5
@@ -102,7 +104,7 @@ def test_failing_sink_loses_and_doubles_nothing(spark, topic_dir, tmp_path):
     assert spark.read.parquet(first).count() == expected.count()
     start(parquet_sink(second)).awaitTermination()
     for path in (first, second):
-        assert bag(spark.read.parquet(path).drop("batch_id")) == bag(expected)
+        assert bag(spark.read.parquet(path).drop(*STAMPS)) == bag(expected)
 
 
 def test_empty_batches_write_nothing(spark, topic_dir, tmp_path):
@@ -122,14 +124,14 @@ def test_all_four_queries(spark, topic_dir, tmp_path):
     paths = {n: str(tmp_path / n) for n in names}
     sinks = {n: {"files": parquet_sink(p)} for n, p in paths.items()}
     spark.streams.resetTerminated()  # other tests end in failure on purpose
-    queries = start_scoring(spark, file_topics(topic_dir), sinks, str(tmp_path / "offsets"), every=None)
+    queries = start_scoring(spark, partial(file_topics, topic_dir), sinks, str(tmp_path / "offsets"), every=None)
     await_any(spark)
     for query in queries:
         query.awaitTermination()
     messages = spark.read.parquet(topic_dir)
     for topic in v.TOPIC_FIELDS:
         assert spark.read.parquet(paths[topic]).count() == messages.filter(F.col("topic") == topic).count()
-    assert bag(spark.read.parquet(paths["churn_risk"]).drop("batch_id")) == bag(
+    assert bag(spark.read.parquet(paths["churn_risk"]).drop(*STAMPS)) == bag(
         score_events(parse_topics(messages, v.TOPIC_FIELDS))
     )
 
@@ -141,7 +143,7 @@ def test_copy_modes(spark, topic_dir, tmp_path):
     copy_topic(
         spark, reader, v.NETWORK_FIELDS, parquet_sink(live), checkpoint=str(tmp_path / "o"), every=None
     ).awaitTermination()
-    assert bag(spark.read.parquet(once)) == bag(spark.read.parquet(live))
+    assert bag(spark.read.parquet(once).drop(*STAMPS)) == bag(spark.read.parquet(live).drop(*STAMPS))
     with pytest.raises(ValueError, match="stream"):
         copy_topic(spark, reader, v.NETWORK_FIELDS, parquet_sink(once), mode="both")
     with pytest.raises(ValueError, match="checkpoint"):
