@@ -80,24 +80,44 @@ def usage_network(spark, sf_dir):
 @query(
     "skewed_join",
     """
-    WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS c_custkey FROM events)
-    SELECT event_id, c_custkey, c_name FROM e LEFT JOIN customer USING (c_custkey)
+    WITH e AS (SELECT CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS c_custkey,
+      CASE WHEN event_id % 3 = 0 THEN 'x' ELSE event_type END AS event_type FROM events)
+    SELECT c_custkey, event_type, c_name, count(*) AS n FROM e LEFT JOIN customer USING (c_custkey) GROUP BY ALL
     """,
 )
 def skewed(spark, sf_dir):
-    """A third of the events belong to one customer."""
+    """A third of the events belong to one customer and are all alike."""
+    third = F.col("event_id") % 3 == 0
+    heavy = load(spark, sf_dir, "events").select(
+        F.when(third, F.lit(1)).otherwise(F.col("user_id")).alias("c_custkey"),
+        F.when(third, F.lit("x")).otherwise(F.col("event_type")).alias("event_type"),
+    )
+    found = salted_join(heavy, load(spark, sf_dir, "customer").select("c_custkey", "c_name"), ["c_custkey"], tasks=64)
+    return found.groupBy("c_custkey", "event_type", "c_name").agg(F.count("*").alias("n"))
+
+
+@query(
+    "skewed_right_join",
+    """
+    WITH e AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS c_custkey FROM events)
+    SELECT c_custkey, c_name, event_id FROM customer LEFT JOIN e USING (c_custkey)
+    """,
+)
+def skewed_right(spark, sf_dir):
+    """The key that holds a third of the rows is on the right of a left join, and rare on the left."""
     user = F.when(F.col("event_id") % 3 == 0, F.lit(1)).otherwise(F.col("user_id")).alias("c_custkey")
     heavy = load(spark, sf_dir, "events").select("event_id", user)
-    return salted_join(heavy, load(spark, sf_dir, "customer").select("c_custkey", "c_name"), ["c_custkey"])
+    return salted_join(load(spark, sf_dir, "customer").select("c_custkey", "c_name"), heavy, ["c_custkey"], tasks=64)
 
 
 @query(
     "lookup",
-    "SELECT s_suppkey, n_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey AND n_regionkey <> 2",
+    "SELECT s_suppkey, n_name FROM supplier LEFT JOIN nation ON s_nationkey + 5 = n_nationkey",
 )
 def looked_up(spark, sf_dir):
-    nations = load(spark, sf_dir, "nation").filter("n_regionkey <> 2")
-    suppliers = load(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
+    """Keys are shifted, so that some find nothing."""
+    nations = load(spark, sf_dir, "nation")
+    suppliers = load(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_nationkey") + 5).alias("n_nationkey"))
     return lookup(suppliers, nations, ["n_nationkey"], ["n_name"]).select("s_suppkey", "n_name")
 
 
@@ -114,6 +134,24 @@ def looked_up_null_safe(spark, sf_dir):
     return lookup(suppliers, nations, ["k"], ["n_name"], null_safe=True).drop("k")
 
 
+@query(
+    "lookup_null_safe_shuffled",
+    """
+    WITH d AS (SELECT nullif(n_nationkey, 3) AS k, n_name FROM nation)
+    SELECT s_suppkey, l_linenumber, n_name, count(*) AS n FROM (SELECT l_linenumber, l_suppkey AS s_suppkey,
+      CASE WHEN l_linenumber > 2 THEN NULL ELSE l_suppkey % 25 END AS k FROM lineitem) l
+    LEFT JOIN d ON l.k IS NOT DISTINCT FROM d.k GROUP BY ALL
+    """,
+)
+def looked_up_null_safe_shuffled(spark, sf_dir):
+    """The null key holds most of the rows, and the dimension counts as too large to broadcast."""
+    nations = load(spark, sf_dir, "nation").selectExpr("nullif(n_nationkey, 3) AS k", "n_name")
+    key = "CASE WHEN l_linenumber > 2 THEN NULL ELSE l_suppkey % 25 END"
+    lines = load(spark, sf_dir, "lineitem").selectExpr("l_linenumber", "l_suppkey AS s_suppkey", f"cast({key} AS int) AS k")
+    found = lookup(lines, nations, ["k"], ["n_name"], null_safe=True, max_broadcast_bytes=0)
+    return found.groupBy("s_suppkey", "l_linenumber", "n_name").agg(F.count("*").alias("n"))
+
+
 @query(
     "key_set_diff",
     """

@@ -2,28 +2,74 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SALT = "_salt"
+from churnkit.scratch import materialize
+
+_LEFT_SALT, _RIGHT_SALT = "_left_salt", "_right_salt"
+# Keys that a sketch looks for, and items it tracks; both bound its size. Missing one changes the plan, not the rows.
 _MAX_HOT = 200
 _TRACKED = 20_000
+_MOST_SALTS = 4096
 
 
 def _fingerprint(columns: Sequence[str]) -> Column:
     return F.xxhash64(*columns)
 
 
-def hot_fingerprints(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> list[int]:
-    """Hashes of keys that hold at least ``share`` of the rows, from one bounded sketch pass."""
-    hashed = df.select(_fingerprint(keys).alias("h"))
-    row = hashed.agg(
-        F.expr(f"approx_top_k(h, {_MAX_HOT}, {_TRACKED})").alias("top"), F.count("*").alias("n")
+def hot_keys(df: DataFrame, keys: Sequence[str], tasks: int | None = None) -> dict[int, int]:
+    """Keys with more than two tasks' share of the rows: hash of the key, and the number of tasks it should fill.
+
+    ``tasks`` is the number of shuffle partitions unless given. Sketches are combined in two levels, per group of
+    input tasks and then over the groups, so that no task merges those of all others.
+    """
+    tasks = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = max(1, math.isqrt(tasks))
+    parts = (
+        df.select(_fingerprint(keys).alias("h"), F.pmod(F.spark_partition_id(), F.lit(groups)).alias("g"))
+        .groupBy("g")
+        .agg(F.expr(f"approx_top_k_accumulate(h, {_TRACKED})").alias("s"), F.count("*").alias("n"))
+    )
+    row = parts.agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {_TRACKED}), {_MAX_HOT})").alias("top"), F.sum("n").alias("n")
     ).first()
-    return [item["item"] for item in row["top"] or [] if item["count"] >= share * row["n"]]
+    return {
+        item["item"]: min(_MOST_SALTS, math.ceil(item["count"] * tasks / row["n"]))
+        for item in row["top"] or []
+        if item["count"] * tasks > 2 * row["n"]
+    }
+
+
+def hot_fingerprints(df: DataFrame, keys: Sequence[str], tasks: int | None = None) -> list[int]:
+    return list(hot_keys(df, keys, tasks))
+
+
+def _salts(hot: Mapping[int, int], keys: Sequence[str]) -> Column:
+    """Number of salts of a row's key; 1 if it is not hot."""
+    if not hot:
+        return F.lit(1)
+    listed = ", ".join(f"{h}L, {n}" for h, n in hot.items())
+    return F.coalesce(F.expr(f"element_at(map({listed}), xxhash64({', '.join(f'`{k}`' for k in keys)}))"), F.lit(1))
+
+
+def _own(salts: Column) -> Column:
+    """A salt by the row's place in its written table: rows that are alike spread as well as others."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), salts).cast("int")
+
+
+def _every(salts: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0), salts - 1))
+
+
+def _costly(df: DataFrame) -> bool:
+    """Whether reading the frame again means joining or aggregating again."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return any(word in plan for word in ("Join", "Aggregate", "Window", "Generate"))
 
 
 def salted_join(
@@ -31,26 +77,63 @@ def salted_join(
     right: DataFrame,
     on: Sequence[str],
     how: str = "left",
-    salts: int = 32,
-    share: float = 0.01,
+    null_safe: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Inner or left equi-join that spreads the hot keys of ``left`` over ``salts`` tasks.
+    """Inner or left equi-join that spreads keys which are hot on either side, or on both.
 
-    Only right rows of hot keys are repeated. Which keys count as hot changes the plan, never the
-    result. The salt comes from the row itself, so a retried task makes the same choice.
+    A hot key's rows are dealt over as many salts as its share of the rows asks for, and the other side's rows of that key
+    are repeated for each salt. Salted sides are written first and dealt by their place, so that a
+    retried task makes the same choice and equal rows spread. A key that is hot on the right is there, so
+    an inner join serves a left join for it.
     """
     if how not in ("left", "inner"):
         raise ValueError("salting keeps results whole for left and inner joins only")
-    hot = hot_fingerprints(left, on, share)
-    if not hot:
-        return left.join(right, list(on), how)
-    is_hot = _fingerprint(on).isin(hot)
-    spread = F.when(is_hot, F.pmod(F.xxhash64(*left.columns), F.lit(salts))).otherwise(F.lit(0))
-    every = F.sequence(F.lit(0), F.lit(salts - 1))
-    copies = F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
-    salted_left = left.withColumn(_SALT, spread.cast("int"))
-    salted_right = right.withColumn(_SALT, copies)
-    return salted_left.join(salted_right, [*on, _SALT], how).drop(_SALT)
+    if not null_safe:
+        # A null key finds nothing.
+        right = right.dropna(subset=list(on))
+        left = left.dropna(subset=list(on)) if how == "inner" else left
+    if _costly(left):
+        left = materialize(left, "join")
+    if _costly(right):
+        right = materialize(right, "join")
+    hot_left, hot_right = hot_keys(left, on, tasks), hot_keys(right, on, tasks)
+    names_left, rest = left.columns, [c for c in right.columns if c not in on]
+    kinds = dict(right.dtypes)
+
+    def joined(a: DataFrame, b: DataFrame, kind: str, salts: Sequence[str] = ()) -> DataFrame:
+        names = {c: f"_right_{c}" for c in (*on, *salts)}
+        b = b.withColumnsRenamed(names)
+        equal = [
+            F.col(c).eqNullSafe(F.col(n)) if null_safe and c in on else F.col(c) == F.col(n) for c, n in names.items()
+        ]
+        return a.join(b, reduce(lambda x, y: x & y, equal), kind).select(*names_left, *rest)
+
+    if not hot_left and not hot_right:
+        return joined(left, right, how)
+    left = materialize(left, "join")
+    if hot_right:
+        right = materialize(right, "join")
+    of_left, of_right = _salts(hot_left, on), _salts(hot_right, on)
+    left = left.withColumn(_LEFT_SALT, _own(of_left) if hot_left else F.lit(0))
+    right = right.withColumn(_RIGHT_SALT, _own(of_right) if hot_right else F.lit(0))
+    is_hot = of_right > 1
+    cool_left, cool_right = left.where(~is_hot), right.where(~is_hot).withColumn(_LEFT_SALT, _every(of_left))
+    out = joined(cool_left, cool_right.drop(_RIGHT_SALT), how, [_LEFT_SALT])
+    if hot_right:
+        # Left rows meet every right salt, right rows every left salt: each pair in one cell.
+        a = left.where(is_hot).withColumn(_RIGHT_SALT, _every(of_right))
+        b = right.where(is_hot).withColumn(_LEFT_SALT, _every(of_left))
+        hot = joined(a, b, "inner", [_LEFT_SALT, _RIGHT_SALT])
+        out = out.unionAll(hot)
+        if how == "left":
+            # Only a key whose hash is that of a hot one can be missing there; there are no more such keys than hot ones.
+            there = F.broadcast(right.where(is_hot).select(*on).distinct())
+            same = [left[c].eqNullSafe(there[c]) for c in on]
+            missing = left.where(is_hot).join(there, reduce(lambda x, y: x & y, same), "left_anti")
+            gaps = [F.lit(None).cast(kinds[c]).alias(c) for c in rest]
+            out = out.unionAll(missing.drop(_LEFT_SALT).select("*", *gaps))
+    return out
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -75,19 +158,18 @@ def lookup(
     ``null_safe``.
     """
     small = dim.select(*on, *take)
-    if measured_bytes(small) <= max_broadcast_bytes:
-        small = F.broadcast(small)
-        if not null_safe:
-            return df.join(small, list(on), "left")
-    elif not null_safe:
-        return salted_join(df, small, on)
+    if measured_bytes(small) > max_broadcast_bytes:
+        return salted_join(df, small, on, null_safe=null_safe)
+    small = F.broadcast(small)
+    if not null_safe:
+        return df.join(small, list(on), "left")
     renamed = small.withColumnsRenamed({c: f"_dim_{c}" for c in on})
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_dim_{c}")) for c in on])
     return df.join(renamed, same, "left").drop(*[f"_dim_{c}" for c in on])
 
 
 def inner_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Equi-join of any two tables; keys that are hot on the left are spread."""
+    """Equi-join of any two tables; keys that are hot on either side are spread."""
     return salted_join(left, right, on, "inner")
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from churnkit.operators import key_set_diff, latest_per_key, lookup, same_keys
+from churnkit.operators import joins
 from churnkit.operators.joins import hot_fingerprints, inner_join, measured_bytes, salted_join
 
 
@@ -21,10 +22,46 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_join_equals_plain_join(skewed, how):
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_salted_join_equals_plain_join(skewed, how, null_safe):
+    """Hot on the left, on the right, and on both."""
     left, right = skewed
-    assert hot_fingerprints(left, ["k"])
-    assert bag(salted_join(left, right, ["k"], how)) == bag(left.join(right, ["k"], how))
+    assert hot_fingerprints(left, ["k"], 16)
+    some = left.where("row % 5 = 0")
+    for a, b in ((left, right), (right, left), (left, some.withColumnRenamed("row", "other"))):
+        a.createOrReplaceTempView("a")
+        b.createOrReplaceTempView("b")
+        listed = ", ".join([f"a.{c}" for c in a.columns] + [f"b.{c}" for c in b.columns if c != "k"])
+        expected = a.sparkSession.sql(f"SELECT {listed} FROM a {how} JOIN b ON a.k {'<=>' if null_safe else '='} b.k")
+        assert bag(salted_join(a, b, ["k"], how, null_safe, tasks=16)) == bag(expected)
+
+
+def test_a_hot_right_key_whose_hash_is_not_there(spark, monkeypatch):
+    """A left row that only seems to have the hot key stays, without a partner."""
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, l string")
+    right = spark.range(300).selectExpr("1L AS k", "id AS r")
+    fake = {spark.sql(f"SELECT xxhash64({k}L)").first()[0]: 4 for k in (1, 2)}
+    monkeypatch.setattr(joins, "hot_keys", lambda df, *_: fake if "r" in df.columns else {})
+    found = bag(salted_join(left, right, ["k"]))
+    assert found == bag(left.join(right, ["k"], "left"))
+
+
+@pytest.mark.parametrize("side", ["left", "right"])
+def test_equal_rows_of_a_hot_key_spread(spark, side):
+    """A third of the rows are alike; over 8 tasks, none gets half of them."""
+    heavy = spark.range(30_000, numPartitions=3).selectExpr("IF(id % 3 = 0, 7L, id) AS k", "'same' AS v")
+    light = spark.range(0, 30_000, 7).selectExpr("id AS k", "id AS w")
+    a, b = (heavy, light) if side == "left" else (light, heavy)
+    found = salted_join(a, b, ["k"], "inner", tasks=32)
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    where = found.where("k = 7").groupBy(F.spark_partition_id()).count().collect()
+    for name, value in before.items():
+        spark.conf.set(name, value)
+    sizes = [r["count"] for r in where]
+    assert sum(sizes) == 10_001 and len(sizes) >= 4 and max(sizes) <= 10_000 / 2
 
 
 def test_salted_join_refuses_other_kinds(skewed):
