@@ -14,7 +14,7 @@ from churnkit.plans import values as v
 from churnkit.plans import warehouse
 from churnkit.plans.silver import build_silver
 from churnkit.scratch import clear
-from churnkit.session import build_session
+from churnkit.session import build_session, size_shuffles
 from churnkit.sinks import format_sink, full_refresh, jdbc_sink, parquet_sink, write_messages, write_silver
 from churnkit.sources import kafka_topics, read_csv, read_silver, require_inputs, split_malformed
 from churnkit.sources.topics import TopicReader
@@ -138,6 +138,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     options = _pairs(args.option)
+    inputs = {"silver": ("client", "record"), "load": ("silver",), "warehouse": STAGING, "replay": ("csv",)}
+    if args.job in inputs:
+        size_shuffles(spark, *(getattr(args, name) for name in inputs[args.job]))
     if args.job == "silver":
         print(run_silver(spark, args.client, args.record, args.out, args.format), "rows")
     elif args.job == "load":

@@ -7,9 +7,10 @@ part sizes turns these into global positions.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.scratch import materialize
@@ -18,6 +19,7 @@ PART = "_part"
 POS = "_pos"
 _ROW = "_row"
 _COPY = "_copy"
+_START = "_start"
 # monotonically_increasing_id holds the task's partition above these bits, the row number below.
 _ROW_BITS = 33
 
@@ -68,24 +70,32 @@ def dense_key(
 ) -> DataFrame:
     """Number rows ``start, start+1, ..`` by ``order_by``, then by ``ties`` (default: the other columns).
 
-    ``distinct`` states that no two rows agree in all order columns. Otherwise the rows are written
-    first and their place there splits equal rows, so that many copies of one row do not end up in
-    one task. ``keep`` names the columns of the result, ``path`` a lasting place for the table.
+    ``distinct`` states that no two rows agree in all order columns. Otherwise their place in the input
+    splits equal rows, so that many copies of one row do not end up in one task; rows that come out of a shuffle
+    are written first, since their place is certain only then. ``keep`` names the columns of the result, ``path`` a lasting place for the table.
     """
     kept = list(keep) if keep is not None else df.columns
     if ties is None:
         ties = [c for c in df.columns if c not in order_by]
     order = [*order_by, *ties]
     if not distinct:
-        df = materialize(df, "unkeyed").withColumn(_COPY, F.monotonically_increasing_id())
+        if _shuffles(df):
+            df = materialize(df, "unkeyed")
+        df = df.withColumn(_COPY, F.monotonically_increasing_id())
         order.append(_COPY)
     placed = place_in_order(df, order, path, keep=kept)
-    # One number per range partition; as a literal it needs no join, and the planner still sees
-    # the size of the written table.
-    sizes = placed.groupBy(PART).agg(F.count("*").alias("n")).collect()
-    starts = part_starts({r[PART]: r["n"] for r in sizes}) or [0]
-    offset = F.expr(f"get(array({', '.join(f'{n}L' for n in starts)}), {PART})")
-    return placed.select((offset + F.col(POS) + start).alias(key), *kept)
+    # One row per range partition, written so that every use of the keys sees the same small table.
+    sizes = placed.groupBy(PART).agg(F.count("*").alias("n"))
+    before = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(PART, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(_START))
+    starts = F.broadcast(materialize(starts, "starts"))
+    numbered = placed.join(starts, PART)
+    return numbered.select((F.col(_START) + F.col(POS) + start).alias(key), *kept)
+
+
+def _shuffles(df: DataFrame) -> bool:
+    """Whether rows arrive in an order that may change when a task is run again; plain scans keep theirs."""
+    return re.search(r"\bExchange\b", df._jdf.queryExecution().executedPlan().toString()) is not None
 
 
 def continue_ids(

@@ -18,6 +18,29 @@ SETTINGS = {
 
 
 BYTES_PER_TASK = 128 << 20
+FEWEST_TASKS, MOST_TASKS = 200, 200_000
+
+
+def tasks_for(input_bytes: int) -> int:
+    """Shuffle partitions for so much input; adaptive execution merges what turns out to be small."""
+    return min(MOST_TASKS, max(FEWEST_TASKS, -(-input_bytes // BYTES_PER_TASK)))
+
+
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of files and folders, as their file systems report it."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        total += target.getFileSystem(conf).getContentSummary(target).getLength()
+    return total
+
+
+def size_shuffles(spark: SparkSession, *paths: str) -> int:
+    """Set the session's shuffle partitions by the size of a job's inputs."""
+    tasks = tasks_for(stored_bytes(spark, *paths))
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    return tasks
 
 
 def build_session(
@@ -33,7 +56,7 @@ def build_session(
         builder = builder.master(master)
     sized = {}
     if input_bytes:
-        sized["spark.sql.shuffle.partitions"] = str(max(200, -(-input_bytes // BYTES_PER_TASK)))
+        sized["spark.sql.shuffle.partitions"] = str(tasks_for(input_bytes))
     chosen = SETTINGS | sized | {name.replace("__", "."): value for name, value in settings.items()}
     for name, value in chosen.items():
         builder = builder.config(name, value)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks import views
 from churnkit import jobs
 from churnkit.plans import values as v
+from churnkit.session import size_shuffles, stored_bytes, tasks_for
 from churnkit.sinks import write_silver
 from churnkit.sources import as_messages, file_topics
 
@@ -72,3 +73,17 @@ def test_command_lines():
     assert (args.mode, jobs._pairs(args.option)) == ("batch", {"path": "/x"})
     with pytest.raises(SystemExit):
         jobs.parser().parse_args(["copy", "--servers", "h:1", "--topic", "t", "--format", "x", "--mode", "both"])
+
+
+def test_shuffles_follow_the_input(spark, tmp_path):
+    for name, size in (("a", 5), ("b", 7)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part").write_bytes(b"x" * size)
+    paths = [str(tmp_path / name) for name in "ab"]
+    assert stored_bytes(spark, *paths) == 12
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, *paths) == 200 == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert (tasks_for(1 << 40), tasks_for(100 << 40)) == (8192, 200_000)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from churnkit.operators import order
 from churnkit.operators import continue_ids, dense_key, exact_quantiles, quantiles, sketch_quantiles
 
 
@@ -19,24 +20,47 @@ def many_parts(spark):
 
 
 def parts_of(df):
+    """Files that the rows come from."""
     return df.select(F.input_file_name().alias("f")).distinct().count()
 
 
-def test_dense_key_equals_global_row_number(spark, many_parts):
+def test_dense_key_equals_global_row_number(spark, many_parts, tmp_path):
     df = spark.range(5000).selectExpr("id", "id % 37 AS g", "CASE WHEN id % 11 = 0 THEN NULL ELSE id % 101 END AS h")
-    keyed = dense_key(df, "k", ["g", "h"], ties=["id"], distinct=True)
-    assert parts_of(keyed) > 1
+    keyed = dense_key(df, "k", ["g", "h"], ties=["id"], distinct=True, path=str(tmp_path / "placed"))
+    assert parts_of(spark.read.parquet(str(tmp_path / "placed"))) > 1
     expected = df.withColumn("k", F.row_number().over(Window.orderBy("g", "h", "id")).cast("long"))
     assert keyed.select("id", "k").exceptAll(expected.select("id", "k")).isEmpty()
     assert keyed.count() == 5000
 
 
-def test_dense_key_spreads_copies_of_one_row(spark, many_parts):
+def test_dense_key_spreads_copies_of_one_row(spark, many_parts, tmp_path):
     df = spark.range(3000).selectExpr("CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS a", "1 AS b").repartition(4)
-    keyed = dense_key(df, "k", ["a"])
+    keyed = dense_key(df, "k", ["a"], path=str(tmp_path / "placed"))
     assert keyed.selectExpr("min(k)", "max(k)", "count(DISTINCT k)").first() == (1, 3000, 3000)
     assert keyed.filter("a = 1").selectExpr("min(k)", "max(k)", "count(*)").first() == (1, 1001, 1001)
-    assert keyed.filter("a = 1").select(F.input_file_name().alias("f")).distinct().count() > 1
+    assert parts_of(spark.read.parquet(str(tmp_path / "placed")).filter("a = 1")) > 1
+
+
+def test_dense_key_writes_scanned_rows_once(spark, tmp_path, monkeypatch):
+    """Rows of a plain scan keep their place; only those out of a shuffle are written before they are placed."""
+    spark.range(50).selectExpr("id % 5 AS a").write.parquet(str(tmp_path / "in"))
+    labels = []
+    write = order.materialize
+    monkeypatch.setattr(order, "materialize", lambda df, label, path=None: labels.append(label) or write(df, label, path))
+    scanned = spark.read.parquet(str(tmp_path / "in"))
+    for df, first in ((scanned, []), (scanned.repartition(3), ["unkeyed"])):
+        labels.clear()
+        keyed = dense_key(df, "k", ["a"])
+        assert labels == [*first, "placed", "starts"]
+        assert sorted(r.k for r in keyed.collect()) == list(range(1, 51))
+
+
+@pytest.mark.parametrize("sign", [1, -1])
+def test_exact_quantiles_with_infinite_values(spark, sign):
+    df = spark.range(1000).selectExpr(f"IF(id % 5 = 0, {sign} * double('Infinity'), double(id)) AS x")
+    found = quantiles(df, ["x"], [0.1, 0.5, 0.9], rel_error=0)["x"]
+    values = sorted(r.x for r in df.collect())
+    assert found == [values[99], values[499], values[899]]
 
 
 def test_dense_key_of_nothing(spark):
