@@ -167,6 +167,48 @@ def line_quantiles(spark, sf_dir):
     )
 
 
+@query(
+    "quantiles_infinite",
+    """
+    WITH x AS (SELECT CASE event_id % 5 WHEN 0 THEN 'Infinity'::DOUBLE WHEN 1 THEN '-Infinity'::DOUBLE ELSE value END AS v FROM events)
+    SELECT quantile_disc(v, 0.1) = '-Infinity'::DOUBLE AS p10_low, quantile_disc(v, 0.5) AS p50,
+      quantile_disc(v, 0.9) = 'Infinity'::DOUBLE AS p90_high FROM x
+    """,
+)
+def quantiles_infinite(spark, sf_dir):
+    """Exact quantiles where a fifth of the values is infinite at either end."""
+    value = "CASE event_id % 5 WHEN 0 THEN double('Infinity') WHEN 1 THEN double('-Infinity') ELSE value END AS v"
+    low, middle, high = quantiles(load(spark, sf_dir, "events").selectExpr(value), ["v"], [0.1, 0.5, 0.9], rel_error=0)["v"]
+    return spark.createDataFrame(
+        [(low == float("-inf"), middle, high == float("inf"))], "p10_low boolean, p50 double, p90_high boolean"
+    )
+
+
+@query(
+    "quantile_rank_error",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, {p}::DOUBLE AS prob, count(*) AS n, true AS within FROM lineitem"
+        for c in LINE_NUMBERS
+        for p in (0.01, 0.25, 0.5, 0.75, 0.99)
+    ),
+)
+def quantile_rank_error(spark, sf_dir):
+    """The sketch that jobs use: the share of rows at or below each mark, and below it, is within the stated error."""
+    lines, probs, error = load(spark, sf_dir, "lineitem"), [0.01, 0.25, 0.5, 0.75, 0.99], 0.01
+    marks = quantiles(lines, LINE_NUMBERS, probs, rel_error=error)
+    judged = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(p).alias("prob"),
+            F.count("*").alias("n"),
+            ((F.avg((F.col(c) <= m).cast("int")) >= p - error) & (F.avg((F.col(c) < m).cast("int")) <= p + error)).alias("within"),
+        )
+        for c in LINE_NUMBERS
+        for p, m in zip(probs, marks[c], strict=True)
+    ]
+    return lines.agg(F.array(*judged).alias("rows")).select(F.inline("rows"))
+
+
 @query(
     "profile",
     " UNION ALL ".join(

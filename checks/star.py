@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.combining import LATEST_SQL
-from checks.registry import query, rounded
+from checks.registry import ORACLES, query, rounded
 from checks.views import ctes, customers, events, silver, view
 from churnkit.plans import insights, warehouse
 from churnkit.plans import values as v
@@ -428,6 +428,17 @@ def mart_customer_overview(spark, sf_dir):
     return rounded(warehouse.mart_customer_overview(built["snapshot"], dims, built["usage"], care))
 
 
+@query("built_customer_overview", ORACLES["mart_customer_overview"])
+def built_customer_overview(spark, sf_dir):
+    """The same mart by the builders that the warehouse job runs: no event ids, means taken from the facts."""
+    tables, silver_rows = tables_and_silver(spark, sf_dir)
+    usage, network, calls, risk = (t.drop("event_id") for t in tables)
+    staging = {"silver": silver_rows, "usage": usage, "network": network, "calls": calls, "risk": risk}
+    dims = warehouse.build_dims(staging)
+    marts = warehouse.build_marts(warehouse.build_facts(staging, dims), dims)
+    return rounded(marts["mart_customer_overview"])
+
+
 @query(
     "mart_network_service_quality",
     MARTS + _mart_sql("quality", v.QUALITY_SNAPSHOT, v.QUALITY_CUSTOMER, v.QUALITY_LOYALTY, list(v.USAGE_MEANS)),
