@@ -9,7 +9,30 @@ from churnkit.llm.registry import query
 from churnkit.llm.sharding import shard_by_bytes
 
 
-@query("op2_sharding")
+@query(
+    "op2_sharding",
+    """
+WITH t AS (
+    -- The byte table of CRC-32, from its polynomial.
+    SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n)) AS tab
+), b AS (
+    SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+        list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS bytes
+    FROM documents
+), sized AS (
+    SELECT doc_id, size, xor(list_reduce(bytes, lambda c, x: xor(c >> 8, tab[xor(c & 255, x) + 1]), 4294967295::BIGINT),
+        4294967295) AS crc FROM b, t
+), placed AS (
+    SELECT *, sum(size) OVER (ORDER BY doc_id) AS bytes_to, sum(size) OVER () AS total FROM sized
+), cut AS (
+    SELECT *, least(((2 * bytes_to - size) * 40) // (2 * total), 39)::INTEGER AS shard FROM placed
+)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'bytes' AS law, shard,
+    row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM cut
+""",
+)
 def op2_sharding(spark, sf_dir):
     """40 contiguous shards of nearly equal bytes."""
     return shard_by_bytes(table(spark, sf_dir, "documents"), shards=40).select(
