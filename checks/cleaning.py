@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query, rounded
-from checks.views import ctes, load, view
+from checks.views import load
 from churnkit.operators import (
     cap_two_sided,
     cap_upper,
@@ -230,25 +230,25 @@ def _share_sql(column: str, table: str) -> str:
     """
 
 
-NETWORK_NUMBERS = ["signal_strength", "dropped_calls", "internet_speed", "outage_flag"]
+# Skewed by squaring, so that some columns have outliers and some have none.
+SPREAD_SQL = "SELECT value, value * value AS value_squared, user_id, event_id FROM events"
+SPREAD = ["value", "value_squared", "user_id", "event_id"]
+SHARES_SQL = f"WITH spread AS ({SPREAD_SQL}) " + " UNION ALL ".join(_share_sql(c, "spread") for c in SPREAD)
 
 
-@query(
-    "outlier_shares",
-    ctes("network") + " UNION ALL ".join(_share_sql(c, "network") for c in NETWORK_NUMBERS),
-)
+def spread(spark, sf_dir):
+    return load(spark, sf_dir, "events").selectExpr("value", "value * value AS value_squared", "user_id", "event_id")
+
+
+@query("outlier_shares", SHARES_SQL)
 def shares(spark, sf_dir):
-    found = outlier_shares(view(spark, sf_dir, "network"), NETWORK_NUMBERS, rel_error=0)
+    found = outlier_shares(spread(spark, sf_dir), SPREAD, rel_error=0)
     return rounded(spark.createDataFrame(list(found.items()), "column_name string, share double"))
 
 
-@query(
-    "outlier_columns",
-    ctes("network")
-    + f"SELECT column_name FROM ({' UNION ALL '.join(_share_sql(c, 'network') for c in NETWORK_NUMBERS)}) WHERE share > 0.01",
-)
+@query("outlier_columns", f"SELECT column_name FROM ({SHARES_SQL}) WHERE share > 0.01")
 def outliers(spark, sf_dir):
-    found = outlier_columns(view(spark, sf_dir, "network"), NETWORK_NUMBERS, rel_error=0)
+    found = outlier_columns(spread(spark, sf_dir), SPREAD, rel_error=0)
     return spark.createDataFrame([(c,) for c in found], "column_name string")
 
 
@@ -342,27 +342,24 @@ def rate(spark, sf_dir):
 
 @query(
     "means_by_customer",
-    ctes("calls")
-    + """
-    SELECT customer_id, round(avg(anger_rate), 6) AS avg_anger, round(avg(call_duration_sec), 6) AS avg_duration
-    FROM calls GROUP BY customer_id
+    """
+    SELECT user_id, round(avg(value), 6) AS avg_value, round(avg(length(props)), 6) AS avg_length
+    FROM events GROUP BY user_id
     """,
 )
 def means(spark, sf_dir):
-    calls = view(spark, sf_dir, "calls")
-    return rounded(
-        means_by_key(calls, ["customer_id"], {"avg_anger": "anger_rate", "avg_duration": "call_duration_sec"})
-    )
+    rows = load(spark, sf_dir, "events").withColumn("length", F.length("props"))
+    return rounded(means_by_key(rows, ["user_id"], {"avg_value": "value", "avg_length": "length"}))
 
 
 @query(
     "resolution_rate",
-    ctes("calls")
-    + """
-    SELECT customer_id, round(avg(CASE WHEN resolved = 'Yes' THEN 1.0 ELSE 0.0 END), 6) AS resolution_rate
-    FROM calls GROUP BY customer_id
+    """
+    SELECT user_id, round(avg(CASE WHEN nullif(event_type, 'view') = 'error' THEN 1.0 ELSE 0.0 END), 6) AS error_rate
+    FROM events GROUP BY user_id
     """,
 )
 def resolution(spark, sf_dir):
-    calls = view(spark, sf_dir, "calls").groupBy("customer_id")
-    return rounded(calls.agg(conditional_rate(F.col("resolved") == "Yes").alias("resolution_rate")))
+    """Share of rows for which a condition holds; a null counts as not."""
+    rows = load(spark, sf_dir, "events").groupBy("user_id")
+    return rounded(rows.agg(conditional_rate(F.expr("nullif(event_type, 'view') = 'error'")).alias("error_rate")))

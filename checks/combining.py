@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import query
-from checks.views import ctes, events, load, view
+from checks.views import ctes, events, load
 from churnkit.operators import (
     append_rows,
     continue_ids,
@@ -41,10 +41,10 @@ LATEST_SQL = """
 
 @query(
     "latest_per_customer",
-    ctes("usage", more=LATEST_SQL.format("usage")) + "SELECT * FROM usage_latest",
+    "SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
 )
 def latest(spark, sf_dir):
-    return latest_per_key(view(spark, sf_dir, "usage"), ["customer_id"], "event_time", ["event_id"])
+    return latest_per_key(load(spark, sf_dir, "events"), ["user_id"], "ts", ["event_id"])
 
 
 @query(

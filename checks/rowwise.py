@@ -28,6 +28,8 @@ from churnkit.operators import (
     rename_snake_case,
 )
 from churnkit.plans import values as v
+from churnkit.scratch import new_path
+from churnkit.sinks import write_messages
 from churnkit.sources import as_messages, parse_topic
 
 FEATURE_NAMES = """
@@ -221,36 +223,38 @@ def run_columns(spark, sf_dir):
     return add_run_columns(suppliers, "v1", "files", started)
 
 
-@query(
-    "json_roundtrip",
-    ctes("usage")
-    + """
-    SELECT customer_id, voice_minutes, data_usage_mb, sms_count, package_usage_pct, event_time FROM usage
-    """,
-)
+@query("json_roundtrip", "SELECT event_id, user_id, event_type, value, props, ts FROM events")
 def json_roundtrip(spark, sf_dir):
-    """Rows to keyed JSON messages and back."""
-    usage = view(spark, sf_dir, "usage").withColumn(
-        "event_time", F.date_format("event_time", "yyyy-MM-dd HH:mm:ss")
-    )
-    return parse_topic(as_messages(usage, "customer_id"), v.USAGE_FIELDS)
+    """Rows to keyed JSON messages and back; the key is the user."""
+    sent = load(spark, sf_dir, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    fields = "event_id long, user_id long, event_type string, value double, props string, ts string"
+    return parse_topic(as_messages(sent, "user_id"), fields, time="ts")
 
 
 @query(
     "json_malformed",
     """
-    SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN regexp_extract(props, '([0-9]+)', 1)::INTEGER END AS k,
-      event_id % 5 = 0 AS broken FROM events
+    SELECT event_id % 5 = 0 AS broken, CASE WHEN event_id % 5 <> 0 THEN regexp_extract(props, '([0-9]+)', 1)::INTEGER END AS k,
+      count(*) AS n FROM events GROUP BY ALL
     """,
 )
 def json_malformed(spark, sf_dir):
     """Broken JSON gives nulls, not errors."""
-    events = load(spark, sf_dir, "events").select(
-        "event_id",
-        F.when(F.col("event_id") % 5 == 0, F.expr("left(props, 3)")).otherwise(F.col("props")).alias("value"),
-    )
-    parsed = events.select("event_id", F.from_json("value", "k int").alias("d"))
-    return parsed.select("event_id", "d.k", F.col("d.k").isNull().alias("broken"))
+    broken = F.expr("CASE WHEN event_id % 5 = 0 THEN left(props, 3) ELSE props END")
+    parsed = parse_topic(load(spark, sf_dir, "events").select(broken.alias("value")), "k int", time=None)
+    return parsed.groupBy(F.col("k").isNull().alias("broken"), "k").agg(F.count("*").alias("n"))
+
+
+@query(
+    "sent_messages",
+    "SELECT 'orders' AS topic, o_custkey::VARCHAR AS key, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_custkey",
+)
+def sent_messages(spark, sf_dir):
+    """Rows sent as keyed messages through a writer and read back from where they went."""
+    path = new_path(spark, "messages")
+    write_messages(load(spark, sf_dir, "orders").select("o_custkey", "o_totalprice"), "o_custkey", "orders", "parquet", path=path)
+    messages = spark.read.parquet(path).select("topic", "key", F.get_json_object("value", "$.o_totalprice").cast("double").alias("price"))
+    return messages.groupBy("topic", "key").agg(F.count("*").alias("n"), F.round(F.sum("price"), 2).alias("total"))
 
 
 @query(

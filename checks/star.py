@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from checks.combining import LATEST_SQL
 from checks.registry import ORACLES, query, rounded
 from checks.views import ctes, customers, events, silver, view
