@@ -362,7 +362,10 @@ def two_runs_one_folder(spark, sf_dir):
     return rows.groupBy("customer_id", "voice_minutes").agg(F.count("*").alias("n_rows"))
 
 
-@query("raw_topics", TOPIC_ROWS.replace("count(*) AS n_rows", "count(*) AS n_rows, count(DISTINCT customer_id) AS n_customers").replace("count(*) FROM", "count(*), count(DISTINCT customer_id) FROM"))
+COUNTED = TOPIC_ROWS.replace("count(*) AS n_rows", "count(*) AS n_rows, count(DISTINCT customer_id) AS n_customers")
+
+
+@query("raw_topics", COUNTED.replace("count(*) FROM", "count(*), count(DISTINCT customer_id) FROM"))
 def raw_topics(spark, sf_dir):
     """The scoring service's raw folders, read back after several batches of each topic."""
     root = new_path(spark, "service")
