@@ -25,7 +25,7 @@ _PIECE = "`{id}` long, piece int, start long, length long, ids_crc32 long"
 _ROUND = 1 << 62  # sequence numbers of the second round lie above
 _PART = 1 << 31
 # Left-over pieces that one task of the second round packs.
-_PIECES_TOGETHER = 200_000
+_PIECES_TOGETHER = 20_000
 
 
 class OpenSequences:
