@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from churnkit.llm.frames import table
-from churnkit.llm.ngram_join import ngram_jaccard_components
+from churnkit.llm.ngram_join import ngram_jaccard_components, ngram_jaccard_degrees
 from churnkit.llm.registry import query
 from churnkit.llm.substrings import remove_repeats
 
@@ -63,3 +63,35 @@ FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY reach.doc_id
 def op1_ngram_jaccard(spark, sf_dir):
     """Every document with the size of its shingle set and its component of near copies."""
     return ngram_jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op1_ngram_links",
+    r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+    JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM d UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+), degrees AS (
+    SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT reach.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id,
+    coalesce(any_value(n_links), 0)::BIGINT AS n_links
+FROM reach LEFT JOIN sizes USING (doc_id) LEFT JOIN degrees USING (doc_id) GROUP BY reach.doc_id
+""",
+)
+def op1_ngram_links(spark, sf_dir):
+    """Every document with its component of near copies and the number of all its links."""
+    return ngram_jaccard_degrees(table(spark, sf_dir, "documents"))

@@ -79,6 +79,14 @@ def near_components(docs, part=80, size=5):
     return components(links, {i for i, _ in docs})
 
 
+def near_links(docs, part=80, size=5):
+    """docs: (id, text) pairs; places in ``docs`` of every two rows whose sets are alike."""
+    sets = [shingles(t, size) for _, t in docs]
+    return [
+        (x, y) for x, a in enumerate(sets) for y, b in enumerate(sets[:x]) if a and b and 100 * len(a & b) >= part * len(a | b)
+    ]
+
+
 def without_repeats(docs, window=20):
     """docs: (id, text) pairs with one row an id; kept words by id."""
     first, out = {}, {}

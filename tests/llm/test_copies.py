@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from churnkit.llm import components as cc
 from churnkit.llm import count_tree, frames, ngram_join, substrings
-from churnkit.llm.ngram_join import ngram_jaccard_components
+from churnkit.llm.ngram_join import ngram_jaccard_components, ngram_jaccard_degrees, ngram_jaccard_links
 from churnkit.llm.substrings import remove_repeats
 
 
@@ -45,6 +45,53 @@ def test_near_components_of_mutated_groups(spark, monkeypatch, cell, limit):
     assert found == cases.near_components(docs)
 
 
+def test_all_links_of_three_alike(spark):
+    """The link that components can do without is there as well, and so are those of a copy."""
+    words = cases.prose(random.Random(4), 200).split()
+    a, b, c = " ".join(words), " ".join(words[:-1] + ["x"]), " ".join(words[:-1] + ["y"])
+    df = spark.createDataFrame([(1, a), (2, b), (3, c), (4, c), (5, "alone")], "doc_id long, text string")
+    links = {(r.a, r.a_copies, r.b, r.b_copies) for r in ngram_jaccard_links(df).collect()}
+    assert links == {(1, 1, 2, 1), (1, 1, 3, 2), (2, 1, 3, 2)}
+    assert {r.doc_id: r.n_links for r in ngram_jaccard_degrees(df).collect()} == {1: 3, 2: 3, 3: 3, 4: 3, 5: 0}
+
+
+@pytest.mark.parametrize(("piece", "columns"), [(ngram_join.PIECE, ngram_join._COLUMNS), (7, 50)])
+def test_all_links_of_mutated_groups(spark, monkeypatch, piece, columns):
+    monkeypatch.setattr(ngram_join, "PIECE", piece)
+    monkeypatch.setattr(ngram_join, "_COLUMNS", columns)
+    rng = random.Random(11)
+    docs = mutated(rng, 3, 40, 60, 0.012) + [(1000 + i, t) for i, t in mutated(rng, 12, 6, 25, 0.02)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    pairs = cases.near_links(docs)
+    degrees = {i: 0 for i, _ in docs}
+    for x, y in pairs:
+        degrees[docs[x][0]] += 1
+        degrees[docs[y][0]] += 1
+    assert {r.doc_id: r.n_links for r in ngram_jaccard_degrees(df).collect()} == degrees
+    first = {}
+    for i, t in sorted(docs):
+        first.setdefault(frozenset(cases.shingles(t)), i)
+    named = {i: first[frozenset(cases.shingles(t))] for i, t in docs}
+    expected = {tuple(sorted((named[docs[x][0]], named[docs[y][0]]))) for x, y in pairs}
+    found = [(r.a, r.b) for r in ngram_jaccard_links(df).collect()]
+    assert len(found) == len(set(found)) and set(found) == {p for p in expected if p[0] != p[1]}
+
+
+def test_degrees_of_odd_rows(spark):
+    """Repeated ids count each row; rows without an id link with nothing."""
+    df = cases.frame(spark)
+    docs = [(r.doc_id, r.text) for r in df.collect()]
+    with_id = [d for d in docs if d[0] is not None]
+    degrees = [0] * len(with_id)
+    for x, y in cases.near_links(with_id):
+        degrees[x] += 1
+        degrees[y] += 1
+    expected = [(i, len(cases.shingles(t)), n) for (i, t), n in zip(with_id, degrees, strict=True)]
+    expected += [(None, len(cases.shingles(t)), None) for i, t in docs if i is None]
+    found = [(r.doc_id, r.n_shingles, r.n_links) for r in ngram_jaccard_degrees(df).collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
+
+
 def test_bound_never_drops_a_link():
     rng = np.random.default_rng(4)
     like = count_tree.Likeness()
@@ -140,4 +187,6 @@ def test_sketch_never_underestimates():
 
 def test_empty(spark):
     assert ngram_jaccard_components(cases.empty(spark)).collect() == []
+    assert ngram_jaccard_degrees(cases.empty(spark)).collect() == []
+    assert ngram_jaccard_links(cases.empty(spark)).collect() == []
     assert remove_repeats(cases.empty(spark)).collect() == []
