@@ -166,6 +166,21 @@ def key_diff(spark, sf_dir):
     return key_set_diff(load(spark, sf_dir, "customer").selectExpr("c_custkey AS k"), buyers, ["k"])
 
 
+@query(
+    "key_set_diff_whole",
+    """
+    SELECT coalesce(c_custkey, k) AS k, CASE WHEN k IS NULL THEN 'left' ELSE 'right' END AS only_in
+    FROM (SELECT DISTINCT c_custkey FROM customer) FULL JOIN (
+      SELECT DISTINCT o_custkey + 7 AS k FROM orders) ON c_custkey = k
+    WHERE c_custkey IS NULL OR k IS NULL
+    """,
+)
+def key_diff_whole(spark, sf_dir):
+    """Both whole tables; the keys of orders are shifted, so that either side has some of its own."""
+    buyers = load(spark, sf_dir, "orders").selectExpr("o_custkey + 7 AS k")
+    return key_set_diff(load(spark, sf_dir, "customer").selectExpr("c_custkey AS k"), buyers, ["k"])
+
+
 @query(
     "append_rows",
     """

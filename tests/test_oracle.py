@@ -75,3 +75,19 @@ def test_query_agrees_with_sql(spark, duck, name):
     assert rows or name == "outlier_columns"
     mine, theirs = as_bag(rows), as_bag(expected)
     assert mine == theirs, list((mine - theirs).items())[:3] + list((theirs - mine).items())[:3]
+
+
+def test_key_diff_reads_all_orders(spark, duck):
+    """Keys that only cheap orders have must be among the answers, and each side must have keys of its own."""
+    found = {(r.k, r.only_in) for r in QUERIES["key_set_diff_whole"](spark, SF_DIR).collect()}
+    assert {side for _, side in found} == {"left", "right"}
+    cheap = duck.execute(
+        "SELECT o_custkey + 7 FROM orders GROUP BY 1 HAVING max(o_totalprice) <= 200000 "
+        "AND o_custkey + 7 NOT IN (SELECT c_custkey FROM customer)"
+    ).fetchall()
+    absent = duck.execute(
+        "SELECT c_custkey FROM customer WHERE c_custkey - 7 IN "
+        "(SELECT o_custkey FROM orders GROUP BY 1 HAVING max(o_totalprice) <= 200000)"
+    ).fetchall()
+    assert {(k, "right") for (k,) in cheap} <= found
+    assert absent and not {(k, "left") for (k,) in absent} & found
