@@ -197,17 +197,29 @@ def stream_score(spark, sf_dir):
     return spark.read.parquet(out).drop(*STAMPS)
 
 
+# A range of time is not cut into files of fewer rows.
+ROWS_A_FILE = 1024
+
+
 def in_files(spark, rows, time, first="old", files=3):
-    """Rows as files by ranges of time, oldest or newest file first; a stream takes one file a batch."""
+    """Rows as files by ranges of time, oldest or newest range first, and the number of files of each range.
+
+    A stream takes one range a batch. All ranges are written by equally many tasks, as many as the smallest one fills.
+    """
     path = new_path(spark, "files")
     cuts = rows.agg(F.min(time).alias("low"), F.max(time).alias("high")).select(
         F.col("low").cast("timestamp").cast("double"), F.col("high").cast("timestamp").cast("double")
     ).first()
     width = (cuts[1] - cuts[0]) / files
     part = F.least(F.floor((F.col(time).cast("timestamp").cast("double") - cuts[0]) / width), F.lit(files - 1))
+    sizes = {r["part"]: r["count"] for r in rows.groupBy(part.alias("part")).count().collect()}
+    tasks = min(sizes.get(i, 0) for i in range(files)) // ROWS_A_FILE
+    tasks = max(1, min(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     for i in range(files) if first == "old" else reversed(range(files)):
-        rows.where(part == i).coalesce(1).write.mode("append").parquet(path)
-    return path
+        rows.where(part == i).repartition(tasks).write.mode("append").parquet(path)
+    if len(spark.read.parquet(path).inputFiles()) != tasks * files:
+        raise RuntimeError("every range was to have equally many files")
+    return path, tasks
 
 
 def drain_windows(spark, stream, keys):
@@ -222,10 +234,10 @@ def drain_windows(spark, stream, keys):
 
 
 def event_stream(spark, sf_dir, first="old"):
-    """The event table as a stream of three files."""
+    """The event table as a stream of three batches."""
     rows = load(spark, sf_dir, "events")
-    path = in_files(spark, rows, "ts", first)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    path, tasks = in_files(spark, rows, "ts", first)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", tasks).parquet(path)
     return stream.withColumn("event_time", F.col("ts").cast("timestamp"))
 
 
@@ -274,8 +286,8 @@ def stream_network_trend(spark, sf_dir):
     """Network trend over several batches of messages."""
     messages = spark.read.parquet(write_topics(spark, sf_dir)).where(F.col("topic") == v.NETWORK_TOPIC)
     sent = messages.withColumn("sent", F.get_json_object("value", "$.event_time"))
-    path = in_files(spark, sent, "sent")
-    topics = file_topics(path, v.NETWORK_TOPIC, files_per_trigger=1)
+    path, tasks = in_files(spark, sent, "sent")
+    topics = file_topics(path, v.NETWORK_TOPIC, files_per_trigger=tasks)
     stream = windowed(read_topics(spark, topics, {v.NETWORK_TOPIC: v.NETWORK_FIELDS}), insights.network_trend)
     return rounded(drain_windows(spark, stream, [stream.columns[0]]))
 

@@ -183,3 +183,17 @@ def test_score_trend_over_a_stream_of_scores(spark, topic_dir, tmp_path):
 
     start_batches(stream, write, str(tmp_path / "o"), every=None, mode="complete").awaitTermination()
     assert bag(spark.read.parquet(out)) == bag(insights.score_trend(scores))
+
+
+def test_time_ranges_are_written_by_many_tasks(spark):
+    """Several files a range, none of which holds rows of two ranges; ranges follow each other in time of writing."""
+    from checks.flows import in_files
+
+    rows = spark.range(12_000).repartition(5).selectExpr("timestamp_seconds(id) AS ts", "id")
+    path, tasks = in_files(spark, rows, "ts", "new")
+    assert tasks == 3
+    held = spark.read.parquet(path).selectExpr("_metadata.file_path AS f", "_metadata.file_modification_time AS m", "id")
+    files = sorted(held.groupBy("f", "m").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n")).collect(), key=lambda r: r.m)
+    assert len(files) == 9 and sum(r.n for r in files) == 12_000
+    ranges = [{(r.low // 4000, r.high // 4000) for r in files[k : k + 3]} for k in (0, 3, 6)]
+    assert ranges == [{(2, 2)}, {(1, 1)}, {(0, 0)}]
