@@ -29,4 +29,4 @@ def test_query_agrees_with_sql(spark, duck, name):
 
 def test_all_numbers_are_registered():
     found = {name.split("_")[0] for name in QUERIES if name.startswith("op")}
-    assert found == {f"op{n}" for n in range(1, 11)}
+    assert found == {f"op{n}" for n in range(1, 14)}
