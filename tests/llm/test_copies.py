@@ -92,6 +92,44 @@ def test_degrees_of_odd_rows(spark):
     assert sorted(found, key=str) == sorted(expected, key=str)
 
 
+def test_split_cells_of_chained_copies_stay_few_pairs(spark, monkeypatch):
+    """A third of the rows are one group whose copies are alike by chance only: some in one component, many alone."""
+    monkeypatch.setattr(ngram_join, "CELL", 100)
+    tried = []
+    search = ngram_join.candidate_pairs
+    monkeypatch.setattr(ngram_join, "candidate_pairs", lambda *a, **k: tried.append(ngram_join.materialize(search(*a, **k))) or tried[-1])
+    rng = random.Random(6)
+    base = cases.prose(rng, 150, "abcdefghij").split()
+    docs = []
+    for i in range(900):
+        words = list(base)
+        for k in rng.sample(range(150), rng.choice([0, 1, 1, 2, 2, 3, 4, 6, 9, 14])):
+            words[k] = cases.prose(rng, 1, "xyz") + str(rng.randrange(30))
+        docs.append((i, " ".join(words)))
+    docs += [(1000 + i, cases.prose(rng, 60)) for i in range(1800)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r.component_id for r in ngram_jaccard_components(df).collect()}
+    assert found == cases.near_components(docs[:900]) | {i: i for i, _ in docs[900:]}
+    assert sum(t.count() for t in tried) < 16 * 900
+
+
+def test_tree_leaves_out_boxes_of_other_groups():
+    """Groups of copies of different texts of one length: a search visits few leaves besides those of its own group."""
+    rng = np.random.default_rng(5)
+    sets = []
+    for _ in range(40):
+        base = rng.integers(0, 1 << 63, 200, dtype=np.uint64) * np.uint64(2)
+        for _ in range(32):
+            sets.append(np.unique(np.where(rng.random(200) < 0.03, rng.integers(0, 1 << 63, 200, dtype=np.uint64), base)))
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    vectors = count_tree.count_vectors(np.concatenate(sets), owner, len(sets))
+    sizes, like = np.array([len(s) for s in sets]), count_tree.Likeness()
+    tree = count_tree.CountTree(vectors, sizes, np.arange(len(sets)))
+    high, low_n = tree.levels[0][:2]
+    visited = [int(like.enough(count_tree.shared_at_most(high, v), n, low_n).sum()) for v, n in zip(vectors, sizes, strict=True)]
+    assert np.mean(visited) < 0.3 * len(high)
+
+
 def test_bound_never_drops_a_link():
     rng = np.random.default_rng(4)
     like = count_tree.Likeness()
