@@ -7,6 +7,7 @@ irregular groups are counted by a shuffle, after every task has added up its own
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,60 +16,81 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from churnkit.llm.byte_batches import binary_array
 from churnkit.llm.frames import spread_join, text_or_empty
-from churnkit.llm.token_pairs import Alignment, align, token_pair
+from churnkit.llm.token_pairs import Alignment, TokenPair, align, groups_as_text, token_pair
 from churnkit.scratch import materialize
 
-# A pair of ids as one number.
-_SHIFT = 24
+# A pair of ids as one number, below that of the text: ids are under 2**20, texts aligned together under 2**23.
+_SHIFT = 20
 # Pairs that a task holds before it sends their counts on.
 _HELD = 2_000_000
 # Bytes of packed ids that are aligned together.
 _TOGETHER = 1 << 20
 
 
-def encode_both(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A written table with a row per input row: row (a number of its own), id, a_ids, b_ids (packed little-endian integers).
+def encode_both(
+    docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False
+) -> DataFrame:
+    """A written table with a row per input row: row (a number of its own), id, a_ids, b_ids (packed little-endian integers), n_a,
+    n_b, n_groups, n_links, groups (``a1,a2|b1;a3|b2,b3``, or the SHA-256 of that if ``digest``; empty without tokens).
 
-    Null and empty texts, and those that either tokenizer spells differently from a space and the text, have no ids.
+    Null and empty texts, and those that either tokenizer spells differently from a space and the text, have no tokens.
     Rows may repeat or lack ids. Other columns are not read. An empty table gives an empty one.
     """
     rows = docs.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
+    names = ["id", "a_ids", "b_ids", "n_a", "n_b", "n_groups", "groups"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = token_pair(a_path, b_path)
         for batch in batches:
-            for low in range(0, batch.num_rows, 500):
-                part = batch.slice(low, 500)
-                found = [pair.encode(t.as_py()) for t in part.column(1)]
-                packed = [pa.array(x, pa.binary()) for x in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(0), *packed], ["id", "a_ids", "b_ids"])
+            for low, high in portions(pc.binary_length(batch.column(1))):
+                part = batch.slice(low, high - low)
+                a, b = zip(*[pair.encode(t.as_py()) for t in part.column(1)], strict=True)
+                found = align(pair, a, b)
+                groups = binary_array(*groups_as_text(pair, found))
+                if digest:
+                    groups = pa.array([hashlib.sha256(g).hexdigest() if g else "" for g in groups.to_pylist()])
+                packed = (pa.array([x.tobytes() for x in ids], pa.binary()) for ids in (a, b))
+                counts = [len(x) for x in a], [len(x) for x in b], np.bincount(found.groups()[0], minlength=len(a))
+                columns = [part.column(0), *packed, *(pa.array(n, pa.int64()) for n in counts), groups.cast(pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = rows.mapInArrow(encode, f"id {kind}, a_ids binary, b_ids binary")
-    return materialize(found.select(F.monotonically_increasing_id().alias("row"), F.col("id").alias(id_col), "a_ids", "b_ids"), "ids")
+    found = rows.mapInArrow(encode, f"id {kind}, a_ids binary, b_ids binary, n_a long, n_b long, n_groups long, groups string")
+    n_links = (F.col("n_a") + F.col("n_b") - F.col("n_groups")).alias("n_links")
+    columns = [F.monotonically_increasing_id().alias("row"), F.col("id").alias(id_col), *names[1:6], n_links, "groups"]
+    return materialize(found.select(*columns), "ids")
 
 
-def _aligned(batches: Iterator[pa.RecordBatch], pair) -> Iterator[tuple[pa.RecordBatch, Alignment]]:
-    """Rows with a_ids and b_ids in portions of about a megabyte of ids, each with its alignment."""
+def portions(sizes: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Runs of rows (low, high) of about ``most`` bytes; a larger row is a run of its own."""
+    ends = sizes.to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
+    low = 0
+    while low < len(ends):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + most, "right")))
+        yield low, high
+        low = high
+
+
+def _aligned(batches: Iterator[pa.RecordBatch], pair: TokenPair) -> Iterator[tuple[pa.RecordBatch, Alignment]]:
+    """Rows with a_ids and b_ids in portions, each with its alignment."""
     for batch in batches:
-        ends = pc.binary_length(batch.column("a_ids")).to_numpy().cumsum()
-        low = 0
-        while low < batch.num_rows:
-            high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + _TOGETHER, "right")))
+        for low, high in portions(pc.binary_length(batch.column("a_ids")), _TOGETHER):
             part = batch.slice(low, high - low)
-            yield part, align(pair, *(part.column(c).to_pylist() for c in ("a_ids", "b_ids")))
-            low = high
+            ids = (
+                [np.frombuffer(x, kind) for x in part.column(c).to_pylist()]
+                for c, kind in (("a_ids", pair.a_kind), ("b_ids", pair.b_kind))
+            )
+            yield part, align(pair, *ids)
 
 
 def _pairs_of(found: Alignment) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (text, pair) of the links, and how often each occurs."""
     text, a, b = found.links()
-    code = (a << _SHIFT) | b
-    order = np.lexsort((code, text))
-    text, code = text[order], code[order]
-    first = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (code[1:] != code[:-1]))) if len(code) else np.zeros(0, np.int64)
-    return text[first], code[first], np.diff(np.append(first, len(code)))
+    keys = np.sort((text << (2 * _SHIFT)) | (a << _SHIFT) | b)
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first] >> (2 * _SHIFT), keys[first] & ((1 << (2 * _SHIFT)) - 1), np.diff(np.append(first, len(keys)))
 
 
 def pair_counts(tokens: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -164,51 +186,17 @@ def link_scores(tokens: DataFrame, pairs: DataFrame, a_path: str, b_path: str) -
     return met.groupBy("row").agg(F.sum(best).alias("n_best"), F.sum(total).alias("count_sum"))
 
 
-def token_groups(tokens: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id") -> DataFrame:
-    """A row per row of ``tokens``: row, id, n_a, n_b, n_groups, n_links, groups (``a1,a2|b1;a3|b2,b3``; empty without tokens)."""
-    kind = tokens.schema[id_col].dataType.simpleString()
-    names = ["row", id_col, "n_a", "n_b", "n_groups", "n_links", "groups"]
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = token_pair(a_path, b_path)
-        for part, found in _aligned(batches, pair):
-            text, of_a, of_b = found.groups()
-            n = part.num_rows
-            spelt = _spelt(found, of_a, of_b)
-            n_groups = np.bincount(text, minlength=n)
-            # Two pieces of text a group: its A ids and its B ids.
-            bounds = np.append(0, np.cumsum(n_groups))
-            groups = [";".join(spelt[x:y]) for x, y in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-            sums = [np.bincount(text, c, n).astype(np.int64) for c in (of_a, of_b)]
-            columns = [*sums, n_groups, sums[0] + sums[1] - n_groups]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("row"), part.column(id_col), *map(pa.array, columns), pa.array(groups, pa.string())], names
-            )
-
-    ddl = f"row long, `{id_col}` {kind}, n_a long, n_b long, n_groups long, n_links long, groups string"
-    return tokens.mapInArrow(write, ddl)
-
-
-def _spelt(found: Alignment, of_a: np.ndarray, of_b: np.ndarray) -> list[str]:
-    """Each group as ``a1,a2|b1``."""
-    sides = []
-    for ids, counts in ((found.a, of_a), (found.b, of_b)):
-        names = list(map(str, ids.tolist()))
-        ends = np.cumsum(counts).tolist()
-        starts = [0, *ends[:-1]]
-        sides.append([names[x] if y - x == 1 else ",".join(names[x:y]) for x, y in zip(starts, ends, strict=True)])
-    return [f"{a}|{b}" for a, b in zip(*sides, strict=True)]
-
-
-def with_scores(groups: DataFrame, scores: DataFrame) -> DataFrame:
-    """Rows of ``token_groups`` (or of a selection of its columns) with n_best and count_sum, without ``row``."""
-    named = [c for c in groups.columns if c != "row"]
+def with_scores(tokens: DataFrame, scores: DataFrame) -> DataFrame:
+    """Columns of ``tokens`` (with ``row``, which is left out) and n_best and count_sum."""
+    named = [F.col(f"`{c}`") for c in tokens.columns if c != "row"]
     sums = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_best", "count_sum")]
-    return groups.join(scores, "row", "left").select(*named, *sums)
+    return tokens.join(scores, "row", "left").select(*named, *sums)
 
 
-def align_tokenizers(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def align_tokenizers(
+    docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False
+) -> DataFrame:
     """One row per input row: id, n_a, n_b, n_groups, n_links, groups, n_best, count_sum, as told by the functions above."""
-    tokens = encode_both(docs, a_path, b_path, id_col, text_col)
+    tokens = encode_both(docs, a_path, b_path, id_col, text_col, digest)
     scores = link_scores(tokens, pair_counts(tokens, a_path, b_path), a_path, b_path)
-    return with_scores(token_groups(tokens, a_path, b_path, id_col), scores)
+    return with_scores(tokens.drop("a_ids", "b_ids"), scores)

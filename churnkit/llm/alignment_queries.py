@@ -1,9 +1,8 @@
 """Query of the cross-tokenizer alignment. SQL cannot express the vocabularies; a test compares with the libraries."""
 
 import public_tokenizers
-from pyspark.sql import functions as F
 
-from churnkit.llm.alignment import encode_both, link_scores, pair_counts, token_groups, with_scores
+from churnkit.llm.alignment import align_tokenizers
 from churnkit.llm.frames import table
 from churnkit.llm.registry import query
 
@@ -13,10 +12,6 @@ A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 @query("op11_token_alignment")
 def op11_token_alignment(spark, sf_dir):
     """Groups and links between the tokens of two tokenizers in every document, with corpus-wide counts of the linked pairs."""
-    paths = public_tokenizers.path(A), public_tokenizers.path(B)
-    tokens = encode_both(table(spark, sf_dir, "documents"), *paths)
-    scores = link_scores(tokens, pair_counts(tokens, *paths), *paths)
-    groups = token_groups(tokens, *paths)
-    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
-    # The digest is made before rows travel.
-    return with_scores(groups.select("row", "doc_id", "n_a", "n_b", "n_groups", "n_links", digest), scores)
+    docs = table(spark, sf_dir, "documents")
+    found = align_tokenizers(docs, public_tokenizers.path(A), public_tokenizers.path(B), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
