@@ -24,7 +24,7 @@ from churnkit.operators.project import (
     keep_columns,
     rename_snake_case,
 )
-from churnkit.operators.ranks import exact_quantiles, quantiles, sketch_quantiles
+from churnkit.operators.ranks import column_sketches, exact_quantiles, quantiles, sketch_quantiles
 from churnkit.operators.stats import (
     column_modes,
     conditional_rate,

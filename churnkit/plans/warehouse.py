@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.operators.joins import lookup, salted_join
+from churnkit.operators.keys import stable_keys
 from churnkit.operators.order import dense_key
 from churnkit.operators.project import distinct_union
 from churnkit.operators.stats import conditional_rate, means_by_key
@@ -95,6 +96,19 @@ def dim_time(
     )
 
 
+def stable_dims(silver: DataFrame, root: str, load: int) -> dict[str, DataFrame]:
+    """The dimensions with attribute tuples, whose keys stay as they are from one load to the next.
+
+    ``root`` keeps the known keys; ``load`` numbers the loads in rising order, see ``stable_keys``.
+    """
+    models = {
+        "dim_customer": ("customer_key", v.CUSTOMER_ATTRIBUTES),
+        "dim_customer_loyalty": ("loyalty_key", v.LOYALTY_ATTRIBUTES),
+        "dim_device": ("device_key", v.DEVICE_ATTRIBUTES),
+    }
+    return {name: stable_keys(silver, key, columns, f"{root}/{name}", load) for name, (key, columns) in models.items()}
+
+
 def dim_issue_type(calls: DataFrame) -> DataFrame:
     return dimension(calls, "issue_type_key", ["issue_type"])
 
@@ -243,16 +257,34 @@ def usage_means_from_events(usage: DataFrame, network: DataFrame, dims: Tables)
     would meet (at least once), a network sum once per usage row.
     """
 
-    def sums(df: DataFrame, measures: Sequence[str], n: str) -> DataFrame:
-        totals = [F.sum(m).alias(f"{m}_sum") for m in measures]
-        filled = [F.count(m).alias(f"{m}_n") for m in measures]
-        return df.groupBy(CUSTOMER, TIME).agg(F.count("*").alias(n), *totals, *filled)
+    return usage_means_of_sums(usage_sums(usage), network_sums(network), dims)
+
+
+OF_USAGE = [m for m in v.USAGE_MEANS.values() if m in v.USAGE_MEASURES]
+OF_NETWORK = [m for m in v.USAGE_MEANS.values() if m in v.NETWORK_MEASURES]
+
+
+def _time_sums(df: DataFrame, measures: Sequence[str], n: str) -> DataFrame:
+    totals = [F.sum(m).alias(f"{m}_sum") for m in measures]
+    filled = [F.count(m).alias(f"{m}_n") for m in measures]
+    return df.groupBy(CUSTOMER, TIME).agg(F.count("*").alias(n), *totals, *filled)
+
+
+def usage_sums(usage: DataFrame) -> DataFrame:
+    """Usage rows, and sums and counts of their measures, per customer and time."""
+    return _time_sums(usage, OF_USAGE, "n_usage")
+
+
+def network_sums(network: DataFrame) -> DataFrame:
+    """The same of network events."""
+    return _time_sums(network, OF_NETWORK, "n_net")
+
 
+def usage_means_of_sums(usage: DataFrame, network: DataFrame, dims: Tables) -> DataFrame:
+    """Mean per customer key over usage-network pairs, from ``usage_sums`` and ``network_sums``."""
     wanted = list(v.USAGE_MEANS.values())
-    of_usage = [m for m in wanted if m in v.USAGE_MEASURES]
-    of_network = [m for m in wanted if m in v.NETWORK_MEASURES]
-    met = sums(usage, of_usage, "n_usage").join(sums(network, of_network, "n_net"), [CUSTOMER, TIME], "left")
-    weight = {m: F.coalesce("n_net", F.lit(1)) for m in of_usage} | {m: F.col("n_usage") for m in of_network}
+    met = usage.join(network, [CUSTOMER, TIME], "left")
+    weight = {m: F.coalesce("n_net", F.lit(1)) for m in OF_USAGE} | {m: F.col("n_usage") for m in OF_NETWORK}
     per_customer = met.groupBy(CUSTOMER).agg(
         *[F.sum(F.col(f"{m}_{part}") * weight[m]).alias(f"{m}_{part}") for m in wanted for part in ("sum", "n")]
     )

@@ -9,6 +9,7 @@ from churnkit.sinks.batches import (
     parquet_sink,
     write_to_all,
 )
+from churnkit.sinks.ledger import Ledger, ledger_sink, numbered
 from churnkit.sinks.tables import (
     full_refresh,
     publish,
@@ -17,6 +18,7 @@ from churnkit.sinks.tables import (
 )
 
 __all__ = [
+    "Ledger",
     "STAMPS",
     "SinkError",
     "counts_sink",
@@ -25,6 +27,8 @@ __all__ = [
     "full_refresh",
     "jdbc_clear",
     "jdbc_sink",
+    "ledger_sink",
+    "numbered",
     "parquet_sink",
     "publish",
     "write_messages",

@@ -67,7 +67,8 @@ def jdbc_clear(spark: SparkSession, url: str, table: str, properties: Mapping[st
             settings.setProperty(name, value)
         connection = jvm.java.sql.DriverManager.getConnection(url, settings)
         try:
-            if not connection.getMetaData().getTables(None, None, table, None).next():
+            *schema, name = table.split(".")
+            if not connection.getMetaData().getTables(None, schema[-1] if schema else None, name, None).next():
                 return  # the first write makes the table
             statement = connection.prepareStatement(f"DELETE FROM {table} WHERE {RUN} = ? AND {BATCH} = ?")
             statement.setString(1, run)

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from churnkit.operators.latest import latest_per_key
@@ -166,6 +168,61 @@ def batch_metrics(query: StreamingQuery, name: str = METRICS) -> dict[int, dict[
     return found
 
 
+class BatchReports(StreamingQueryListener):
+    """Hands the metrics of ``watched`` of every batch to ``report(query name or id, batch id, metrics)``.
+
+    Spark calls it for each batch when it ends, so none is missed however few it remembers. Register with
+    ``spark.streams.addListener``; ``await_end`` waits until the reports of a query have come in.
+    """
+
+    def __init__(self, report: Callable[[str, int, dict[str, Any]], None] | None = None, name: str = METRICS):
+        self.report, self.name = report, name
+        self.batches: dict[str, dict[int, dict[str, Any]]] = {}
+        self._ended: set[str] = set()
+        self._news = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        found = progress.observedMetrics.get(self.name)
+        if found is None:
+            return
+        metrics = found.asDict()
+        with self._news:
+            self.batches.setdefault(str(progress.id), {})[progress.batchId] = metrics
+        if self.report is not None:
+            self.report(progress.name or str(progress.id), progress.batchId, metrics)
+
+    def onQueryTerminated(self, event) -> None:
+        with self._news:
+            self._ended.add(str(event.id))
+            self._news.notify_all()
+
+    def await_end(self, query: StreamingQuery, timeout: float = 60) -> dict[int, dict[str, Any]]:
+        """Metrics by batch of a query that has ended, once Spark has reported its end, which comes last."""
+        with self._news:
+            if not self._news.wait_for(lambda: query.id in self._ended, timeout):
+                raise TimeoutError(f"no end of {query.id} was reported")
+            return dict(self.batches.get(query.id, {}))
+
+
+def unique_messages(messages: DataFrame, within: str = v.WATERMARK, time: str = "timestamp") -> DataFrame:
+    """Messages of a topic stream, each once: repeats of topic, key and value are dropped.
+
+    A repeat is known while its first copy is no more than ``within`` behind the newest message, after which the state forgets
+    it; a later repeat is itself behind the watermark and dropped as well, and so is any message that late. Values are
+    compared by their SHA-256. Null keys and values are equal to nulls.
+    """
+    digest = F.sha2(F.coalesce(F.col("value").cast("binary"), F.lit(b"")), 256)
+    marked = messages.withColumns({"_digest": digest, "_null": F.col("value").isNull()}).withWatermark(time, within)
+    return marked.dropDuplicatesWithinWatermark(["topic", "key", "_digest", "_null"]).drop("_digest", "_null")
+
+
 def windowed(
     stream: DataFrame, summarize: Callable[[DataFrame], DataFrame], time: str = "event_time",
     watermark: str = v.WATERMARK,

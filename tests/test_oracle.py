@@ -41,7 +41,7 @@ def as_bag(rows):
 # Shares of a total are taken over rows that are one per label already; a top-k report and a
 # one-row summary end in one task by nature.
 ONE_TASK = {
-    "risk_distribution", "revenue_at_risk", "top_risk", "missing_counts", "profile", "quantile_rank_error",
+    "risk_distribution", "revenue_at_risk", "top_risk", "missing_counts", "profile", "quantile_merged_error", "quantile_rank_error",
     "raw_topics",
 }
 

@@ -1,14 +1,17 @@
 """Dense keys and exact quantiles against brute force."""
 
+import bisect
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from churnkit.operators import order
-from churnkit.operators import continue_ids, dense_key, exact_quantiles, quantiles, sketch_quantiles
+from churnkit.operators import order, ranks
+from churnkit.operators import column_sketches, continue_ids, dense_key, exact_quantiles, quantiles, sketch_quantiles
+from churnkit.operators.ranks import sketch_size
 
 
 @pytest.fixture
@@ -111,3 +114,34 @@ def test_sketch_keeps_its_error(spark):
     df = spark.range(20000).selectExpr("id AS x").repartition(8)
     marks = sketch_quantiles(df, ["x"], PROBS, 0.01)["x"]
     assert all(abs(m / 20000 - p) <= 0.0101 for m, p in zip(marks, PROBS))
+
+
+def test_sketches_are_merged_in_two_levels(spark):
+    """Error and plan of the merge: tasks meet in groups first, and infinite values keep their ranks."""
+    infinite = "CASE id % 5 WHEN 0 THEN double('Infinity') WHEN 1 THEN double('-Infinity') WHEN 2 THEN double('NaN') ELSE id END AS y"
+    df = spark.range(30000).selectExpr("double(id) AS x", infinite, "double(NULL) AS none").repartition(40)
+    marks = sketch_quantiles(df, ["x", "y", "none"], [0.0, *PROBS, 1.0], 0.01, groups=6)
+    assert marks["none"] == [] and marks["x"][0] == 0 and marks["x"][-1] == 29999
+    assert all(abs(m / 30000 - p) <= 0.0101 for m, p in zip(marks["x"][1:-1], PROBS))
+    values = sorted(float("inf") if i % 5 == 0 else float("-inf") if i % 5 == 1 else i for i in range(30000) if i % 5 != 2)
+    for m, p in zip(marks["y"], [0.0, *PROBS, 1.0], strict=True):
+        below, upto = bisect.bisect_left(values, m) / len(values), bisect.bisect_right(values, m) / len(values)
+        assert below - 0.0101 <= p <= upto + 0.0101
+    plan = column_sketches(df, ["x"], 0.01)._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"hashpartitioning\(([^)]*)", plan)
+    assert any("name" in e and "_group" in e for e in exchanges) and len(exchanges) == 2
+    assert "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("wrong", [(10.0, 20.0), (-5.0, -5.0), (5000.0, 9000.0), (None, 3.0), (900.0, None), (float("-inf"), float("inf"))])
+def test_exact_quantiles_where_the_sketch_was_wrong(spark, monkeypatch, wrong):
+    """An interval that misses its quantile costs time, not the result."""
+    df = spark.range(1000).selectExpr("double(id % 250 * 4) AS x").repartition(5)
+    monkeypatch.setattr(ranks, "_intervals", lambda df, columns, probs, error: {"x": [*wrong] * len(probs)})
+    assert exact_quantiles(df, ["x"], PROBS) == {"x": [brute([i % 250 * 4 for i in range(1000)], p) for p in PROBS]}
+
+
+@pytest.mark.parametrize("error", [0.2, 0.01, 0.001])
+def test_sketch_size_follows_the_error(error):
+    k = sketch_size(error)
+    assert 2.446 / k**0.9433 <= error / 2 < 2.446 / (k - 2) ** 0.9433
