@@ -58,13 +58,15 @@ class _Pieces(dict):
 class WordTokens(dict):
     """Maps a word's bytes to its ids, packed as little-endian unsigned integers of ``width`` bytes.
 
-    Strings of special tokens in a text are ordinary text.
+    Strings of special tokens in a text are what the library makes of them: such a text is encoded by it as a whole.
     """
 
     def __init__(self, path: str, limit: int = 400_000):
         super().__init__()
         self.full = Tokenizer.from_file(path)
-        self.full.encode_special_tokens = True
+        special = [t.content for t in self.full.get_added_tokens_decoder().values()]
+        # Whether a token is looked for before or after letters are made small differs by vocabulary.
+        self.special = regex.compile("|".join(map(regex.escape, special)).encode(), regex.IGNORECASE) if special else None
         self.limit = limit
         self.kind = np.dtype("<u2" if self.full.get_vocab_size() <= 1 << 16 else "<u4")
         self.code = {2: "H", 4: "I"}[self.kind.itemsize]
@@ -90,6 +92,8 @@ class WordTokens(dict):
 
     def ids(self, text: bytes) -> bytes:
         """Packed ids of a whole text."""
+        if self.special is not None and self.special.search(text):
+            return array(self.code, self.full.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.__getitem__, text.split()))
 
 

@@ -19,10 +19,14 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+SPECIAL = [
+    "abc <|endoftext|> def", "<|startoftext|>", "a<|startoftext|>b<|endoftext|>", "A <|ENDOFTEXT|> b", "<|endoftext|", "x <|End", "<|endoftext|><|endoftext|> Ü",
+]
+
+
 @pytest.fixture(scope="module")
 def word_ids():
     library = Tokenizer.from_file(WORDS)
-    library.encode_special_tokens = True
     return lambda text: library.encode(text or "", add_special_tokens=False).ids
 
 
@@ -42,12 +46,17 @@ def test_words_as_the_library(word_ids):
     rng = random.Random(3)
     letters = "abcXYZé ÉßŒıİſΣσ́ẞ0123!?#'’ \n\t \x85\x1c <|>漢字\U0001f600ǅŉž"
     words = WordTokens(WORDS, limit=50)
-    for text in ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(800)] + ["'s'T don't <|endoftext|>x", "ΑΣ ΑΣΑ"]:
+    for text in ["".join(rng.choices(letters, k=rng.randint(0, 40))) for _ in range(800)] + ["'s'T don't <|endoftext|>x", "ΑΣ ΑΣΑ", *SPECIAL]:
         assert np.frombuffer(words.ids(text.encode()), words.kind).tolist() == word_ids(text), repr(text)
 
 
+def with_special(spark):
+    rows = [(1000 + i, t, "s", -1, "t", 5, "k", 3, 9, 1) for i, t in enumerate(SPECIAL)]
+    return cases.frame(spark).unionAll(spark.createDataFrame(rows, cases.SCHEMA))
+
+
 def test_token_files(spark, word_ids):
-    df = cases.frame(spark)
+    df = with_special(spark)
     found = read_token_files(write_token_files(df.repartition(5), WORDS, end_id=2)).collect()
     rows = sorted(found, key=lambda r: r.start)
     docs = [(r.doc_id, r.text) for r in df.collect()]
@@ -60,7 +69,7 @@ def test_token_files(spark, word_ids):
 
 
 def test_packing(spark, word_ids):
-    df = cases.frame(spark)
+    df = with_special(spark)
     rows = pack_documents(df.repartition(4), WORDS, size=256, most_open=3, with_ids=True).collect()
     expected, found = Counter(), Counter()
     for r in df.collect():
