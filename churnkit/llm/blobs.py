@@ -8,6 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 BUCKETS_PER_TASK = 3
 
@@ -73,5 +74,5 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[byte
 
 
 def exchanged(blobs: DataFrame, tasks: int) -> DataFrame:
-    """All blobs of a bucket in one task, in a row."""
-    return blobs.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    """All blobs of a bucket in one task, in a row; buckets are dealt to tasks by number, equally many to each."""
+    return blobs.repartitionById(tasks, F.pmod("bucket", F.lit(tasks)).cast("int")).sortWithinPartitions("bucket")

@@ -56,17 +56,21 @@ def anchored(texts: Texts, window: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     forward, back = _ONE.powers(_ONE.word_base, len(words))
     first = np.arange(len(words) - gram + 1)
     grams = mix(range_sums(words * forward, first, first + gram) * back[first])
-    # The place in the low bits makes the leftmost of equal grams the smallest and tells where it is.
-    place = np.uint64(max(1, int(len(grams)).bit_length()))
-    low = (np.uint64(1) << place) - np.uint64(1)
-    least = (grams & ~low) | first.astype(np.uint64)
+    # The least gram of each window and its leftmost place, kept apart so that the choice depends on the window alone.
+    least, place = grams, first
     span, reach = window - gram + 1, 1
     while 2 * reach <= span:
-        least = np.minimum(least[:-reach], least[reach:])
+        least, place = _lesser(least, place, reach, len(least) - reach)
         reach *= 2
     if reach < span:
-        least = np.minimum(least[: len(least) - (span - reach)], least[span - reach :])
-    return at, (least[at] & low).astype(np.int64), grams
+        least, place = _lesser(least, place, span - reach, len(least) - (span - reach))
+    return at, place[at], grams
+
+
+def _lesser(least: np.ndarray, place: np.ndarray, ahead: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each of the first ``n`` values and the one so far ahead, the smaller, the first of equal ones, and its place."""
+    later = least[ahead : ahead + n] < least[:n]
+    return np.where(later, least[ahead : ahead + n], least[:n]), np.where(later, place[ahead : ahead + n], place[:n])
 
 
 def counters(anchors: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -269,16 +273,20 @@ def remove_repeats(
     and text count as one and are treated alike. Window equality is that of 128 bits of fingerprints. An empty table
     gives an empty one.
     """
+    carry = carry or []
+    clashing = {id_col, "n_words", "n_removed", "kept"} & set(carry)
+    if clashing:
+        raise ValueError(f"carried columns clash with those of the result: {sorted(clashing)}")
     spark = docs.sparkSession
     width = shuffle_width(spark)
     buckets = BUCKETS_PER_TASK * width
     text, number = text_or_empty(text_col), F.col(id_col).cast("long")
-    home = F.pmod(F.xxhash64(number), F.lit(buckets))
+    # Rows without an id, or with one that repeats, are spread by their texts.
+    home = F.pmod(F.xxhash64(number, F.xxhash64(text)), F.lit(buckets))
     texts = docs.select(number.alias("_id"), F.xxhash64(text).alias("_mark"), home.alias("_home"), text.cast("binary").alias("_text"))
     bits = sketch_bits(docs.count())
     bitmap = repeated_counters(texts.select("_text"), window, bits)
     marked = mark_repeated_windows(texts, window, bitmap, bits, buckets)
-    carry = carry or []
     rest = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(carry)])
     rows = docs.select(
         home.alias("bucket"), F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("blob"), number.alias("_id"),
@@ -289,7 +297,7 @@ def remove_repeats(
         "bucket", F.lit(0).alias("kind"), "blob", F.lit(None).cast("long").alias("_id"), F.lit(None).cast("long").alias("_mark"),
         F.lit(None).cast("binary").alias("_text"), F.lit(None).cast(rest_type).alias("_rest"),
     )
-    met = notes.unionAll(rows).repartition(width, "bucket").sortWithinPartitions("bucket", "kind")
+    met = notes.unionAll(rows).repartitionById(width, F.pmod("bucket", F.lit(width)).cast("int")).sortWithinPartitions("bucket", "kind")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blobs, runs = None, [], None

@@ -228,3 +228,35 @@ def test_empty(spark):
     assert ngram_jaccard_degrees(cases.empty(spark)).collect() == []
     assert ngram_jaccard_links(cases.empty(spark)).collect() == []
     assert remove_repeats(cases.empty(spark)).collect() == []
+
+
+def test_anchors_depend_on_the_window_alone(monkeypatch):
+    """With fingerprints of six bits many grams tie; what stands before a window must not change its choice."""
+    import pyarrow as pa
+
+    whole = substrings.mix
+    monkeypatch.setattr(substrings, "mix", lambda x: whole(x) >> np.uint64(58))
+    rng = random.Random(9)
+    tail = cases.prose(rng, 300)
+    chosen = []
+    for before in (0, 1, 63, 5000):
+        text = (cases.prose(rng, before) + " " + tail).encode()
+        (group,) = substrings.text_groups(pa.array([text], pa.large_binary()))
+        at, anchor, _ = substrings.anchored(group, 20)
+        chosen.append((anchor - at)[before:].tolist())
+    assert len(chosen[0]) == 281 and all(c == chosen[0] for c in chosen)
+
+
+def test_rows_without_an_id_are_spread(spark):
+    """A third of all rows has no id: their texts are dealt among all tasks of the last shuffle."""
+    rng = random.Random(3)
+    rows = [(None if i % 3 == 0 else i, cases.prose(rng, 30)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    found = remove_repeats(df)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 1200 and max(sizes) < 2 * np.median(sizes)
+
+
+def test_carried_columns_may_not_clash(spark):
+    with pytest.raises(ValueError, match="clash"):
+        remove_repeats(cases.frame(spark), carry=["kept"])
