@@ -7,7 +7,7 @@ from functools import partial
 
 from pyspark.sql import functions as F
 
-from checks.registry import query, rounded
+from checks.registry import ORACLES, query, rounded
 from checks.rowwise import FEATURE_NAMES
 from checks.star import LONG_DOUBLES, NETWORK_TREND_SQL, SCORED, _rounded_columns
 from checks.views import CUTS_SQL, FEATURES_SQL, SILVER_RAW, TABLES, bronze, ctes, events, load
@@ -27,12 +27,14 @@ from churnkit.sources import (
     register_staging,
     require_inputs,
     split_malformed,
+    split_once,
 )
 from churnkit.streaming import (
     copy_topic,
     raw_writer,
     score_writer,
     start_batches,
+    start_live_scores,
     start_scoring,
     start_windows,
     windowed,
@@ -133,6 +135,11 @@ def silver_from_files(spark, sf_dir):
 )
 def malformed(spark, sf_dir):
     """Short, long and ill-typed lines are told apart from good ones."""
+    return append_rows(*split_malformed(part_lines(spark, sf_dir)))
+
+
+def part_lines(spark, sf_dir):
+    """Parts as CSV lines of which some are short, long or ill-typed, read back."""
     lines = load(spark, sf_dir, "part").selectExpr(
         """CASE p_partkey % 10 WHEN 3 THEN concat(p_partkey, ',', p_size)
         WHEN 5 THEN concat(p_partkey, ',', p_size, ',', p_brand, ',more')
@@ -141,8 +148,13 @@ def malformed(spark, sf_dir):
     )
     path = new_path(spark, "lines")
     lines.write.text(path)
-    read = read_csv(spark, path, "p_partkey bigint, p_size int, p_brand string", header=False, corrupt="_corrupt")
-    return append_rows(*split_malformed(read))
+    return read_csv(spark, path, "p_partkey bigint, p_size int, p_brand string", header=False, corrupt="_corrupt")
+
+
+@query("csv_parsed_once", ORACLES["csv_malformed_split"])
+def csv_parsed_once(spark, sf_dir):
+    """The same split over one written table, so that the lines are parsed once."""
+    return append_rows(*split_once(part_lines(spark, sf_dir)))
 
 
 def write_topics(spark, sf_dir) -> str:
@@ -197,6 +209,19 @@ def stream_score(spark, sf_dir):
     return spark.read.parquet(out).drop(*STAMPS)
 
 
+@query("stream_score_so_far", _by_measures(SCORED) + "SELECT * FROM scored")
+def stream_score_so_far(spark, sf_dir):
+    """Events of one customer come in different batches, and a restart; scores are those of all events together."""
+    out, offsets, reader = new_path(spark, "scores"), new_path(spark, "offsets"), topic_files(spark, sf_dir)
+    for _ in range(2):
+        stream = read_topics(spark, reader(), v.TOPIC_FIELDS)
+        start_live_scores(stream, {"files": parquet_sink(out)}, offsets, every=None).awaitTermination()
+    written = spark.read.parquet(out)
+    if written.select("batch_id").distinct().count() < 3:
+        raise RuntimeError("the stream was to take several batches")
+    return windows_now(written, ["customer_id"])
+
+
 # A range of time is not cut into files of fewer rows.
 ROWS_A_FILE = 1024
 

@@ -9,6 +9,7 @@ from checks.registry import ORACLES, query, rounded
 from checks.star import ALL_DIMS, EVENT_VIEWS, FACT_CALL, FACT_USAGE, MEANS, MEANS_SQL, _rounded_columns
 from checks.views import ctes, customers, events, load
 from churnkit.operators import append_rows, column_sketches
+from churnkit.operators.distinct import distinct_sink, kept_distinct
 from churnkit.plans import increments, warehouse
 from churnkit.plans import values as v
 from churnkit.scratch import new_path
@@ -233,3 +234,25 @@ def quantile_merged_error(spark, sf_dir):
         for p, m in zip(SKETCHED_PROBS, marks[c], strict=True)
     ]
     return rows.agg(F.array(*judged).alias("rows")).select(F.inline("rows"))
+
+
+@query(
+    "daily_customers",
+    ctes(*EVENT_VIEWS)
+    + """
+    SELECT topic, event_time::DATE AS day, count(*) AS n_rows, true AS within FROM (
+      SELECT 'customer_care_calls' AS topic, customer_id, event_time FROM calls UNION ALL
+      SELECT 'network_events', customer_id, event_time FROM network UNION ALL
+      SELECT 'usage_events', customer_id, event_time FROM usage) GROUP BY ALL
+    """,
+)
+def daily_customers(spark, sf_dir):
+    """Distinct customers of each day from sketches kept per batch, within 3 % of an exact count over all events."""
+    root, by = new_path(spark, "sketches"), ["topic", "day"]
+    stream = read_topics(spark, topic_files(spark, sf_dir)(), v.TOPIC_FIELDS).withColumn("day", F.to_date("event_time"))
+    writer = raw_writer("customers", {"sketches": distinct_sink(spark, root, by, "customer_id")})
+    start_batches(stream, writer, new_path(spark, "offsets"), every=None).awaitTermination()
+    rows = read_topics(spark, topic_files(spark, sf_dir)(), v.TOPIC_FIELDS, streaming=False)
+    exact = rows.groupBy("topic", F.to_date("event_time").alias("day")).agg(F.countDistinct("customer_id").alias("n"))
+    within = F.abs(F.col("n_distinct") - F.col("n")) <= F.greatest(F.col("n") * 0.03, F.lit(1))
+    return kept_distinct(spark, root, by).join(exact, by).select(*by, "n_rows", within.alias("within"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.functions.rules import rule_points, tier
@@ -53,3 +53,34 @@ def split_topics(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def score_events(events: DataFrame) -> DataFrame:
     return score_customers(*split_topics(events))
+
+
+def latest_events(events: DataFrame) -> DataFrame:
+    """Newest call, network and usage event of each customer as structs, of a mixed table or of a stream so far.
+
+    Equal times are settled by the measures, as ``latest_per_key`` does. On a stream the three structs of every customer are the
+    state, which new events only ever raise; it grows with the customers, not with the events.
+    """
+
+    def newest(topic: str, measures: Sequence[str]) -> Column:
+        wanted = F.col("topic") == topic
+        if topic != v.CALLS_TOPIC:
+            wanted &= F.col(CUSTOMER).isNotNull()  # events without a customer meet no call
+        return F.max(F.when(wanted, F.struct(TIME, *measures)))
+
+    return events.groupBy(CUSTOMER).agg(
+        newest(v.CALLS_TOPIC, v.CALL_MEASURES).alias("call"),
+        newest(v.NETWORK_TOPIC, v.NETWORK_MEASURES).alias("network"),
+        newest(v.USAGE_TOPIC, v.USAGE_MEASURES).alias("usage"),
+    )
+
+
+def score_latest(events: DataFrame) -> DataFrame:
+    """As ``score_events``, in one aggregation that also runs on streams: a call meets events of earlier batches."""
+    joined = latest_events(events).where("call IS NOT NULL").select(
+        CUSTOMER,
+        "call.*",
+        *[F.col(f"network.{m}") for m in v.NETWORK_MEASURES],
+        *[F.col(f"usage.{m}") for m in v.USAGE_MEASURES],
+    )
+    return with_score(joined).select(CUSTOMER, "churn_score", "risk_level", F.col(TIME))

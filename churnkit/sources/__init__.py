@@ -1,4 +1,4 @@
-from churnkit.sources.files import read_csv, read_silver, register_staging, require_inputs, split_malformed
+from churnkit.sources.files import read_csv, read_silver, register_staging, require_inputs, split_malformed, split_once
 from churnkit.sources.topics import (
     as_messages,
     file_topics,
@@ -22,4 +22,5 @@ __all__ = [
     "register_staging",
     "require_inputs",
     "split_malformed",
+    "split_once",
 ]

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnkit.scratch import new_path
+
 CORRUPT = "_corrupt"
+MALFORMED = "malformed"
 
 
 def read_csv(
@@ -44,6 +47,20 @@ def split_malformed(df: DataFrame, corrupt: str = CORRUPT) -> tuple[DataFrame, D
     return good, bad
 
 
+def split_once(df: DataFrame, path: str | None = None, corrupt: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
+    """As ``split_malformed``, but the file is parsed only once.
+
+    Rows and raw lines are written to one table, told apart by its partition ``malformed``; both results read their own
+    partition. ``path`` is a lasting place for the table.
+    """
+    spark, path = df.sparkSession, path or new_path(df.sparkSession, "parsed")
+    flagged = df.withColumn(MALFORMED, F.col(corrupt).isNotNull())
+    flagged.write.mode("overwrite").partitionBy(MALFORMED).parquet(path)
+    parsed = spark.read.schema(flagged.schema).parquet(path)
+    good = parsed.where(~F.col(MALFORMED)).drop(MALFORMED, corrupt)
+    return good, parsed.where(F.col(MALFORMED)).select(F.col(corrupt).alias("line"))
+
+
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """Silver Parquet folder; stays distributed and is pruned by the queries on it."""
     return spark.read.parquet(path)

@@ -7,6 +7,7 @@ from churnkit.streaming.queries import (
     raw_writer,
     score_writer,
     start_batches,
+    start_live_scores,
     start_scoring,
     start_windows,
     unique_messages,
@@ -25,6 +26,7 @@ __all__ = [
     "raw_writer",
     "score_writer",
     "start_batches",
+    "start_live_scores",
     "start_scoring",
     "start_windows",
     "unique_messages",

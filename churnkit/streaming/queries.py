@@ -15,7 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from churnkit.operators.latest import latest_per_key
 from churnkit.operators.stats import topic_counts
 from churnkit.plans import values as v
-from churnkit.plans.scoring import score_events
+from churnkit.plans.scoring import score_events, score_latest
 from churnkit.sinks.batches import BATCH, RUN, Sink, parquet_sink, write_to_all
 from churnkit.sources.topics import TopicReader, parse_topic, parse_topics
 
@@ -119,6 +119,17 @@ def start_scoring(
     return queries
 
 
+def start_live_scores(
+    events: DataFrame, sinks: Mapping[str, Sink], checkpoint: str, name: str | None = None, every: str | None = v.TRIGGER
+) -> StreamingQuery:
+    """Score customers by all their events so far, not only those of one micro-batch.
+
+    Each batch writes the scores of the customers it brought events of; ``windows_now(written, ["customer_id"])`` reads the
+    latest score of each. The opposite of ``score_writer``, for which a call needs the others in its own batch.
+    """
+    return start_batches(score_latest(events), raw_writer("live scores", sinks), checkpoint, name, every, mode="update")
+
+
 def await_any(spark: SparkSession, timeout: int | None = None) -> None:
     """Wait until one query ends; its failure is raised here."""
     spark.streams.awaitAnyTermination(timeout)
