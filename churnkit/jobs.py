@@ -11,16 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from churnkit.operators.clean import coerce_numbers
 from churnkit.operators.stats import require_rows
 from churnkit.plans import values as v
-from churnkit.plans import warehouse
+from churnkit.plans import increments, warehouse
 from churnkit.plans.silver import build_silver
 from churnkit.scratch import clear
 from churnkit.session import build_session, size_shuffles
-from churnkit.sinks import format_sink, full_refresh, jdbc_sink, parquet_sink, write_messages, write_silver
-from churnkit.sources import kafka_topics, read_csv, read_silver, require_inputs, split_malformed
+from churnkit.sinks import format_sink, full_refresh, jdbc_sink, ledger_sink, parquet_sink, write_messages, write_silver
+from churnkit.sources import kafka_topics, read_csv, read_silver, require_inputs, split_once
 from churnkit.sources.topics import TopicReader
 from churnkit.streaming import await_any, copy_topic, start_scoring
 
-STAGING = ("silver", "usage", "network", "calls", "risk")
+EVENTS = ("usage", "network", "calls")
+STAGING = ("silver", *EVENTS, "risk")
 SCORE_TABLE = "churn_risk"
 
 
@@ -40,8 +41,21 @@ def run_load(spark: SparkSession, silver: str, table: str) -> int:
     return require_rows(spark.table(table), table)
 
 
-def run_warehouse(spark: SparkSession, staging: Mapping[str, DataFrame], out: str) -> dict[str, int]:
-    """All dimensions, facts and marts as Parquet below ``out``; each must hold rows."""
+def run_warehouse(
+    spark: SparkSession,
+    staging: Mapping[str, DataFrame],
+    out: str,
+    keys: str | None = None,
+    load: int | None = None,
+    sums: str | None = None,
+) -> dict[str, int]:
+    """All dimensions, facts and marts as Parquet below ``out``; each must hold rows.
+
+    ``keys`` names a folder that keeps the keys of customers, loyalty tuples and devices from one ``load`` to the next. ``sums``
+    names one that ``run_increment`` feeds: the means of the marts then come from it and the event facts are not read for them.
+    """
+    if (keys is None) != (load is None):
+        raise ValueError("kept keys need both a folder and the number of the load")
     counts = {}
 
     def keep(models: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -52,12 +66,25 @@ def run_warehouse(spark: SparkSession, staging: Mapping[str, DataFrame], out: st
             counts[name] = require_rows(kept[name], name)
         return kept
 
-    dims = keep(warehouse.build_dims(staging))
+    dims = keep(warehouse.build_dims(staging, kept_keys=None if keys is None else (keys, load)))
     facts = keep(warehouse.build_facts(staging, dims))
-    keep(warehouse.build_marts(facts, dims))
+    if sums is None:
+        means = warehouse.fact_means(facts)
+    else:
+        means = increments.usage_means(spark, sums, dims), increments.care_means(spark, sums, dims)
+    keep(warehouse.build_marts(facts, dims, *means))
     return counts
 
 
+def run_increment(
+    spark: SparkSession, usage: DataFrame, network: DataFrame, calls: DataFrame, sums: str, number: int, fold: bool = False
+) -> None:
+    """Add one increment of events to the sums behind the marts' means; ``fold`` merges the increments so far."""
+    increments.add_events(sums, number, usage, network, calls)
+    if fold:
+        increments.fold(spark, sums)
+
+
 def run_scoring(
     spark: SparkSession,
     reader_of: Callable[..., TopicReader],
@@ -66,14 +93,19 @@ def run_scoring(
     jdbc_url: str | None = None,
     jdbc: Mapping[str, str] | None = None,
     every: str | None = v.TRIGGER,
+    across_batches: bool = False,
+    unique_within: str | None = None,
 ) -> None:
-    """Raw topics and scores to files and, if a database is named, to tables; runs until a query ends."""
+    """Raw topics and scores to files and, if a database is named, to tables; runs until a query ends.
+
+    See ``start_scoring`` for ``across_batches`` and ``unique_within``.
+    """
     sinks = {}
     for name in (*v.TOPIC_FIELDS, SCORE_TABLE):
         sinks[name] = {"files": parquet_sink(f"{out}/{name}")}
         if jdbc_url:
             sinks[name]["database"] = jdbc_sink(jdbc_url, f"{name}_tbl", jdbc or {})
-    queries = start_scoring(spark, reader_of, sinks, checkpoint, every)
+    queries = start_scoring(spark, reader_of, sinks, checkpoint, every, across_batches, unique_within)
     if every is None:
         for query in queries:
             query.awaitTermination()
@@ -85,7 +117,7 @@ def run_replay(spark: SparkSession, csv: str, topic: str, fmt: str = "kafka", **
     """Posts from CSV to keyed messages; lines of the wrong length are left out and given back."""
     kinds = dict(f.split() for f in v.POST_FIELDS.split(","))
     text = ", ".join(f"{name} string" for name in kinds)
-    good, bad = split_malformed(read_csv(spark, csv, text, corrupt="_corrupt"))
+    good, bad = split_once(read_csv(spark, csv, text, corrupt="_corrupt"))
     posts = coerce_numbers(
         good.fillna(""),
         doubles=[n for n, kind in kinds.items() if kind == "double"],
@@ -112,14 +144,26 @@ def parser() -> argparse.ArgumentParser:
 
     job("silver", "client", "record", "out").add_argument("--format", default="parquet")
     job("load", "silver", "table")
-    job("warehouse", *STAGING, "out")
-    job("score", "servers", "out", "checkpoint").add_argument("--jdbc-url")
+    gold = job("warehouse", *STAGING, "out")
+    gold.add_argument("--keys", help="folder that keeps keys from load to load")
+    gold.add_argument("--load", type=int, help="number of this load, for --keys")
+    gold.add_argument("--sums", help="folder of the increment job, to take means from")
+    added = job("increment", *EVENTS, "sums")
+    added.add_argument("--number", type=int, required=True)
+    added.add_argument("--fold", action="store_true", help="merge the increments so far")
+    score = job("score", "servers", "out", "checkpoint")
+    score.add_argument("--jdbc-url")
+    score.add_argument("--across-batches", action="store_true", help="score by all events so far, not those of one batch")
+    score.add_argument("--unique-within", help="drop messages sent again within this time, such as '10 minutes'")
     copy = job("copy", "servers", "topic", "format")
     copy.add_argument("--mode", choices=("stream", "batch"), default="stream")
     copy.add_argument("--checkpoint")
     copy.add_argument(
         "--skip-lost-offsets", action="store_true", help="go on where the broker has dropped messages; else fail"
     )
+    copy.add_argument(
+        "--ledger", action="store_true", help="commit each batch to a ledger at the path option, in any file format"
+    )
     copy.add_argument(
         "--at-least-once", action="store_true", help="accept that a retried batch may be appended twice"
     )
@@ -138,7 +182,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     options = _pairs(args.option)
-    inputs = {"silver": ("client", "record"), "load": ("silver",), "warehouse": STAGING, "replay": ("csv",)}
+    inputs = {
+        "silver": ("client", "record"), "load": ("silver",), "warehouse": STAGING, "increment": EVENTS, "replay": ("csv",)
+    }
     if args.job in inputs:
         size_shuffles(spark, *(getattr(args, name) for name in inputs[args.job]))
     if args.job == "silver":
@@ -147,16 +193,22 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         print(run_load(spark, args.silver, args.table), "rows")
     elif args.job == "warehouse":
         staging = {name: spark.read.parquet(getattr(args, name)) for name in STAGING}
-        for name, n in run_warehouse(spark, staging, args.out).items():
+        for name, n in run_warehouse(spark, staging, args.out, args.keys, args.load, args.sums).items():
             print(name, n, "rows")
+    elif args.job == "increment":
+        run_increment(spark, *(spark.read.parquet(getattr(args, name)) for name in EVENTS), args.sums, args.number, args.fold)
     elif args.job == "score":
         reader_of = partial(kafka_topics, args.servers, rows_per_trigger=v.ROWS_PER_TRIGGER)
-        run_scoring(spark, reader_of, args.out, args.checkpoint, args.jdbc_url, options)
+        kept = {"across_batches": args.across_batches, "unique_within": args.unique_within}
+        run_scoring(spark, reader_of, args.out, args.checkpoint, args.jdbc_url, options, **kept)
     elif args.job == "copy":
         reader = kafka_topics(
             args.servers, args.topic, rows_per_trigger=None, fail_on_data_loss=not args.skip_lost_offsets
         )
-        sink = format_sink(args.format, at_least_once=args.at_least_once, **options)
+        if args.ledger:
+            sink = ledger_sink(spark, options.pop("path"), args.format, **options)
+        else:
+            sink = format_sink(args.format, at_least_once=args.at_least_once, **options)
         query = copy_topic(spark, reader, v.POST_FIELDS, sink, args.mode, args.checkpoint)
         if query is not None:
             query.awaitTermination()

@@ -117,23 +117,31 @@ def dim_risk_level(risk: DataFrame) -> DataFrame:
     return dimension(risk, "risk_level_key", ["risk_level"])
 
 
-def build_dims(staging: Tables, with_run_times: bool = False) -> dict[str, DataFrame]:
-    """All dimensions from the staging tables ``silver``, ``usage``, ``network``, ``calls``, ``risk``."""
+def build_dims(
+    staging: Tables, with_run_times: bool = False, kept_keys: tuple[str, int] | None = None
+) -> dict[str, DataFrame]:
+    """All dimensions from the staging tables ``silver``, ``usage``, ``network``, ``calls``, ``risk``.
+
+    ``kept_keys``, the folder and the number of the load, keeps keys from load to load (``stable_dims``); without
+    it every build numbers anew.
+    """
     silver = staging["silver"]
     events = [staging[name] for name in ("usage", "network", "calls", "risk")]
     run_times = silver if with_run_times else None
-    return together(
-        silver.sparkSession,
-        {
+    tasks = {
+        "dim_date": lambda: dim_date(events, run_times),
+        "dim_time": lambda: dim_time(events, run_times),
+        "dim_issue_type": lambda: dim_issue_type(staging["calls"]),
+        "dim_risk_level": lambda: dim_risk_level(staging["risk"]),
+    }
+    if kept_keys is None:
+        tasks |= {
             "dim_customer": lambda: dim_customer(silver),
             "dim_customer_loyalty": lambda: dim_customer_loyalty(silver),
             "dim_device": lambda: dim_device(silver),
-            "dim_date": lambda: dim_date(events, run_times),
-            "dim_time": lambda: dim_time(events, run_times),
-            "dim_issue_type": lambda: dim_issue_type(staging["calls"]),
-            "dim_risk_level": lambda: dim_risk_level(staging["risk"]),
-        },
-    )
+        }
+        return together(silver.sparkSession, tasks)
+    return together(silver.sparkSession, tasks) | stable_dims(silver, *kept_keys)
 
 
 # Facts
@@ -351,9 +359,18 @@ def mart_network_service_quality(snapshot: DataFrame, dims: Tables, usage: DataF
     )
 
 
-def build_marts(facts: Tables, dims: Tables) -> dict[str, DataFrame]:
-    usage = usage_means(facts["fact_usage_network_event"])
-    care = care_means(facts["fact_customer_care_call"])
+def fact_means(facts: Tables) -> tuple[DataFrame, DataFrame]:
+    """Usage and care means from the facts."""
+    return usage_means(facts["fact_usage_network_event"]), care_means(facts["fact_customer_care_call"])
+
+
+def build_marts(
+    facts: Tables, dims: Tables, usage: DataFrame | None = None, care: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Both marts; the means come from the facts unless they are given, such as those of ``increments``."""
+    if usage is None or care is None:
+        of_facts = fact_means(facts)
+        usage, care = usage or of_facts[0], care or of_facts[1]
     snapshot = facts["fact_customer_snapshot"]
     return {
         "mart_customer_overview": mart_customer_overview(snapshot, dims, usage, care),

@@ -100,20 +100,34 @@ def start_scoring(
     sinks: Mapping[str, Mapping[str, Sink]],
     checkpoint: str,
     every: str | None = v.TRIGGER,
+    across_batches: bool = False,
+    unique_within: str | None = None,
 ) -> list[StreamingQuery]:
     """One raw query per topic and the scoring query, each with its own checkpoint.
 
     ``reader_of(*topics)`` gives a reader of these topics only: each raw query subscribes to its own, so that
     no message is fetched for a query that drops it and rate limits are not shared.
-    ``sinks`` holds the sinks of every topic and of ``"churn_risk"``.
+    ``sinks`` holds the sinks of every topic and of ``"churn_risk"``. ``across_batches`` scores customers by all their events
+    so far (``start_live_scores``); ``unique_within`` drops messages that are sent again within that time (``unique_messages``).
     """
+
+    def messages(*topics: str) -> DataFrame:
+        stream = reader_of(*topics)(spark, True)
+        return unique_messages(stream, unique_within) if unique_within else stream
+
+    # Repeats are told by a watermark on the time of messages, and a stream has only one.
+    watermark = None if unique_within else v.WATERMARK
     queries = []
     for topic, fields in v.TOPIC_FIELDS.items():
-        stream = parse_topic(reader_of(topic)(spark, True), fields, watermark=v.WATERMARK)
+        stream = parse_topic(messages(topic), fields, watermark=watermark)
         queries.append(
             start_batches(stream, raw_writer(topic, sinks[topic]), f"{checkpoint}/{topic}", topic, every)
         )
-    events = parse_topics(reader_of(*v.TOPIC_FIELDS)(spark, True), v.TOPIC_FIELDS, watermark=v.WATERMARK)
+    if across_batches:
+        events = parse_topics(messages(*v.TOPIC_FIELDS), v.TOPIC_FIELDS)
+        live = start_live_scores(events, sinks["churn_risk"], f"{checkpoint}/churn_risk", "churn_risk", every)
+        return [*queries, live]
+    events = parse_topics(messages(*v.TOPIC_FIELDS), v.TOPIC_FIELDS, watermark=watermark)
     scores = score_writer(sinks["churn_risk"])
     queries.append(start_batches(events, scores, f"{checkpoint}/churn_risk", "churn_risk", every))
     return queries

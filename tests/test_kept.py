@@ -6,10 +6,14 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from churnkit.operators.distinct import distinct_sink, distinct_sketches, kept_distinct, merged_distinct
 from churnkit.operators.keys import stable_keys
 from churnkit.operators.partials import fold_increments, merged_sums, store_increment
 from churnkit.plans import increments
+from churnkit.plans import values as v
+from churnkit.plans.scoring import score_events, score_latest
 from churnkit.sinks import Ledger, ledger_sink, numbered, parquet_sink
+from churnkit.sources import read_csv, split_once
 from churnkit.streaming import BatchReports, late_account, late_writer, raw_writer, start_batches, unique_messages, watched
 
 
@@ -270,3 +274,88 @@ def test_a_listener_misses_no_batch(spark, tmp_path):
         spark.conf.set(kept, before)
     assert len(running.recentProgress) <= 1 and sorted(m["n_rows"] for m in batches.values()) == [1, 2, 3, 4, 5]
     assert sorted(told) == sorted(("five", b, m["n_rows"]) for b, m in batches.items())
+
+
+# Distinct counts
+
+
+def test_distinct_sketches_of_retried_batches(spark, tmp_path):
+    root = str(tmp_path / "sketches")
+    sink = distinct_sink(spark, root, ["day"], "key")
+    with pytest.raises(ValueError, match="no batch"):
+        kept_distinct(spark, root, ["day"])
+    source, offsets = str(tmp_path / "in"), str(tmp_path / "offsets")
+    for low in (0, 3000, 6000):
+        rows = spark.range(low, low + 5000).selectExpr("'d' || id % 2 AS day", "IF(id % 10 = 0, NULL, id) AS key")
+        rows.coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("day string, key long").option("maxFilesPerTrigger", 1).parquet(source)
+    failed = set()
+
+    def faulty(batch, batch_id):
+        sink(batch, batch_id)
+        if batch_id == 1 and batch_id not in failed:
+            failed.add(batch_id)
+            raise RuntimeError("after the commit")
+
+    for _ in range(2):
+        try:
+            start_batches(stream, raw_writer("d", {"sketches": faulty}), offsets, every=None).awaitTermination()
+        except StreamingQueryException:
+            continue
+    rows = {r.day: r for r in kept_distinct(spark, root, ["day"]).collect()}
+    assert failed == {1} and {d: r.n_rows for d, r in rows.items()} == {"d0": 7500, "d1": 7500}
+    # Ids 0 to 10999; tens are null and even.
+    assert abs(rows["d1"].n_distinct / 5500 - 1) < 0.03 and abs(rows["d0"].n_distinct / 4400 - 1) < 0.03
+
+
+def test_distinct_sketches_merge_over_coarser_groups(spark):
+    rows = spark.range(4000).selectExpr("id % 4 AS day", "id % 1000 AS key")
+    fine = distinct_sketches(rows, ["day"], "key")
+    (whole,) = merged_distinct(fine.withColumn("all", F.lit(1)), ["all"]).collect()
+    assert whole.n_rows == 4000 and abs(whole.n_distinct - 1000) < 30
+    assert merged_distinct(fine.limit(0), ["day"]).collect() == []
+
+
+# Scores over batches
+
+
+def test_scores_of_all_events_as_in_one_batch(spark):
+    """Ties, nulls in every column, customers without calls, events without a customer."""
+    fields = "topic string, customer_id string, event_time timestamp, issue_type string, anger_rate int, call_duration_sec int, resolved string, " + (
+        "signal_strength int, dropped_calls int, internet_speed int, outage_flag int, voice_minutes int, data_usage_mb int, sms_count int, package_usage_pct int"
+    )
+    start, none = datetime(2024, 1, 1), [None] * 4
+
+    def row(topic, customer, minute, measures):
+        place = list(v.TOPIC_FIELDS).index(topic)
+        at = None if minute is None else start + timedelta(minutes=minute)
+        order = (v.CALLS_TOPIC, v.NETWORK_TOPIC, v.USAGE_TOPIC)
+        return (topic, customer, at, *[x for t in order for x in (measures if t == topic else none)])
+
+    c, n, u = v.CALLS_TOPIC, v.NETWORK_TOPIC, v.USAGE_TOPIC
+    rows = [
+        row(c, "a", 1, ["x", 9, 60, "No"]), row(c, "a", 1, ["x", 3, 60, "Yes"]), row(c, "a", 0, ["z", 10, 1, "No"]),
+        row(n, "a", 5, [10, 3, 1, 0]), row(n, "a", 5, [10, 1, 9, 1]), row(n, "a", None, [99, 5, 1, 1]), row(u, "a", 2, [1, 1, 1, 5]),
+        row(c, "b", None, ["x", None, None, None]), row(n, "b", 1, [None, None, None, None]), row(u, "b", 1, [1, 1, 1, None]),
+        row(n, "c", 1, [1, 9, 1, 1]), row(c, None, 3, ["x", 9, 9, "No"]), row(n, None, 3, [1, 9, 9, 1]), row(u, None, 3, [1, 1, 1, 1]),
+        row(c, "d", 4, ["x", 8, 9, None]),
+    ]
+    events = spark.createDataFrame(rows, fields)
+    assert bag(score_latest(events)) == bag(score_events(events)) and score_latest(events).count() == 4
+    assert score_latest(events.limit(0)).collect() == []
+
+
+# Malformed lines
+
+
+def test_lines_are_parsed_once(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("a,b\n1,x\nbad\n2,y,more\n,z\nq,r\n")
+    read = read_csv(spark, str(tmp_path / "in.csv"), "a int, b string", corrupt="_corrupt")
+    good, bad = split_once(read, str(tmp_path / "parsed"))
+    assert bag(good) == [(1, "x"), (None, "z")] and bag(bad) == [("2,y,more",), ("bad",), ("q,r",)]
+    for df, flag in ((good, "NOT malformed"), (bad, "malformed")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Scan csv" not in plan and "PartitionFilters: [isnotnull(malformed" in plan and flag.split()[-1] in plan
+    assert [r.a for r in good.select("a").collect()].count(1) == 1  # a narrower query does not judge anew
+    empty = read_csv(spark, str(tmp_path / "in.csv"), "a int, b string", corrupt="_corrupt").limit(0)
+    assert [df.count() for df in split_once(empty, str(tmp_path / "none"))] == [0, 0]
