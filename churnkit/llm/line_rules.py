@@ -54,21 +54,16 @@ def _repeat_words(windows: Column) -> Column:
     """Words covered by windows that occur at least twice in the text."""
 
     def covered(w: Column) -> Column:
-        ordered = F.array_sort(w)
-        repeated = _let(
-            ordered,
-            lambda s: F.array_distinct(
-                F.filter(
-                    F.zip_with(s, _tail(s, 1), lambda a, b: F.when(a == b, a)), lambda x: x.isNotNull()
-                )
-            ),
-        )
-        at = _let(
-            F.map_from_arrays(repeated, repeated),
-            lambda m: F.filter(
-                F.transform(w, lambda x, i: F.when(m[x].isNotNull(), i)), lambda i: i.isNotNull()
+        # Windows in the order of their hashes: equal ones are neighbours.
+        ordered = F.sort_array(F.transform(w, lambda x, i: F.struct(x.alias("h"), i.alias("at"))))
+        places = lambda s: _let(
+            F.zip_with(s, _tail(s, 1), lambda a, b: a["h"] == b["h"]),
+            lambda same: F.filter(
+                F.transform(s, lambda x, j: F.when(F.get(same, j) | F.coalesce(F.get(same, j - 1), F.lit(False)), x["at"])),
+                lambda i: i.isNotNull(),
             ),
         )
+        at = F.sort_array(_let(ordered, places))
         # A window adds five words, less those that reach into the next repeated one.
         gaps = lambda p: F.zip_with(p, _tail(p, 1), lambda a, b: F.least(b - a, F.lit(WINDOW)))
         total = lambda p: F.aggregate(

@@ -1,7 +1,10 @@
+import random
+
 import cases
+from pyspark.sql import functions as F
 
 from churnkit.llm import frames
-from churnkit.llm.line_rules import quality_rules
+from churnkit.llm.line_rules import quality_rules, text_counts
 
 
 def test_odd_rows(spark):
@@ -50,3 +53,13 @@ def test_no_python_on_the_way(spark):
 
 def test_empty(spark):
     assert quality_rules(cases.empty(spark)).collect() == []
+
+
+def test_long_text_of_many_repeats(spark):
+    """A text said twice, so that every window repeats: in proportion to its length, not to the square."""
+    rng = random.Random(2)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(30_000)]
+    texts = [" ".join(words + words), " ".join(words + ["x", "y"] + words[:7]), " ".join(words[:20_000])]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in df.select(text_counts(F.col("t"))["_counts"]["n_repeat_words"]).collect()]
+    assert found == [60_000, 14, 0]
