@@ -3,8 +3,8 @@
 A text is cut by a pattern into pre-tokens and each piece is merged by ranks. Long texts are first cut
 into chunks that overlap. A chunk's first pre-tokens may be cut wrongly, but the pattern looks only
 ahead: once its boundaries meet those of the chunk before, both agree from there on. The chunks are
-stitched at the first such boundary. Where a pre-token is longer than the overlap, the open end and the
-next chunk are cut again as one text.
+stitched at the first such boundary. Where a pre-token is longer than the overlap, the open end and the chunks up to
+one that holds a boundary are cut again as one text, once.
 """
 
 from __future__ import annotations
@@ -101,24 +101,30 @@ def stitch(bpe: RankBpe, chunks: Iterator[Encoded]) -> bytes:
     width = bpe.kind.itemsize
     chunks = iter(chunks)
     here, at, out = next(chunks), 0, []
+    raw: list[str] = []  # text from ``at`` on, where its pre-tokens aren't known
+    covered = 0
     for after in chunks:
-        bounds = here.bounds()
-        end = bounds[-1]
-        # A pre-token that ends with its chunk may go on in the text.
-        known = bounds[(bounds >= at) & (bounds < end)]
-        meeting = np.intersect1d(known[known >= after.start], after.bounds(), assume_unique=True)
-        if len(meeting):
-            cut = int(meeting[0])
+        if not raw:
+            bounds = here.bounds()
+            end = covered = int(bounds[-1])
+            # A pre-token that ends with its chunk may go on in the text.
+            known = bounds[(bounds >= at) & (bounds < end)]
+            meeting = np.intersect1d(known[known >= after.start], after.bounds(), assume_unique=True)
+            cut = int(meeting[0]) if len(meeting) else int(known[-1])
             out.append(here.between(at, cut, width))
-            here = after
-        else:
-            cut = int(known[-1])
-            out.append(here.between(at, cut, width))
-            open_end = bpe.decode(here.between(cut, end, width)).decode()
-            more = bpe.decode(after.ids).decode()[end - after.start :]
-            here = encode_stretch(bpe, open_end + more, cut)
-        at = cut
-    out.append(here.between(at, here.bounds()[-1], width))
+            at = cut
+            if len(meeting):
+                here = after
+                continue
+            raw.append(bpe.decode(here.between(cut, end, width)).decode())
+        raw.append(bpe.decode(after.ids).decode()[covered - after.start :])
+        covered = int(after.bounds()[-1])
+        # A chunk that is all one pre-token adds no boundary: it waits for more.
+        if len(after.lengths) > 1:
+            here, raw = encode_stretch(bpe, "".join(raw), at), []
+    if raw:
+        here = encode_stretch(bpe, "".join(raw), at)
+    out.append(here.between(at, int(here.bounds()[-1]), width))
     return b"".join(out)
 
 

@@ -10,6 +10,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
+from churnkit.llm import rank_bpe as rank_bpe_module
 from churnkit.llm.packing import OpenSequences, pack_documents
 from churnkit.llm.rank_bpe import chunks_of, decode_ids, encode_stretch, encode_texts, rank_bpe, stitch
 from churnkit.llm.token_files import read_token_files, write_token_files
@@ -136,6 +137,20 @@ def test_stitching_random_texts(rank_ids):
         assert np.frombuffer(made, bpe.kind).tolist() == rank_ids(text), (text, chunk, overlap)
 
 
+def test_a_run_over_many_chunks_is_encoded_once(rank_ids, monkeypatch):
+    """Pre-tokens of many chunks, alone and among others; the work is that of the text, not of its square."""
+    bpe = rank_bpe(RANKS, PATTERN)
+    for text in ("a" * 9000, "x y " + "b" * 5000 + " c " + "é" * 3000 + "\n", " " * 4000 + "a", "ab " * 900 + "z" * 2000):
+        chunks = [encode_stretch(bpe, piece, at) for at, piece in chunks_of(text, 256, 16)]
+        sizes = []
+        whole = rank_bpe_module.encode_stretch
+        monkeypatch.setattr(rank_bpe_module, "encode_stretch", lambda b, t, s: sizes.append(len(t)) or whole(b, t, s))
+        made = stitch(bpe, iter(chunks))
+        monkeypatch.undo()
+        assert np.frombuffer(made, bpe.kind).tolist() == rank_ids(text)
+        assert sum(sizes) < 1.3 * len(text) + 600
+
+
 def test_empty(spark):
     none = cases.empty(spark)
     assert encode_texts(none, RANKS, PATTERN).collect() == []
