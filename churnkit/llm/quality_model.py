@@ -91,7 +91,11 @@ def training_sample(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
     rows: int = TRAINING_ROWS,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Statistics and labels of at most ``rows`` labelled rows outside the held-out fold, chosen by a hash of the id."""
+    """Statistics and labels of at most ``rows`` labelled rows outside the held-out fold, chosen by a hash of the id.
+
+    Labels other than 0 and 1 and labels without an id are left out; a document that has several labels is there once for each. Null
+    texts count as empty. Empty tables give arrays without rows.
+    """
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~in_held_out_fold(id_col))
     chosen = (
         usable.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_label"))
@@ -154,7 +158,10 @@ def score(docs: DataFrame, forest: Forest, id_col: str = "doc_id", text_col: str
 
 
 def keep_good(docs: DataFrame, forest: Forest, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
-    """The rows whose text scores at least ``threshold``, with all their columns, without a shuffle."""
+    """The rows whose text scores at least ``threshold``, with all their columns, without a shuffle.
+
+    Null texts count as empty when they are scored and stay null. Rows may repeat or lack ids. An empty table gives an empty one.
+    """
     # The text is last and appears once; the other columns pass through as they are.
     names = [c for c in docs.columns if c != text_col] + [text_col]
     columns = [F.col(f"`{c}`") for c in names]

@@ -87,7 +87,9 @@ class TokenPair:
         rest = sorted((i for i in normal if len(pieces[i].lstrip(SPACE)) and len(pieces[i]) > 1), key=lambda i: -self.b.get_score(i))
         order = first + [(self.b_bytes[i], i) for i in rest]
         scores = {self.b.get_score(i) for i in rest}
-        if any(i is None for _, i in order) or len(dict(order)) < len(order) or len(scores) < len(rest):
+        # A piece must not hold a character that is no piece: its bytes would not be merged first.
+        lone = {c for i in rest for c in pieces[i].replace(SPACE, " ") if len(c.encode()) == 2 and c.encode() not in single}
+        if lone or any(i is None for _, i in order) or len(dict(order)) < len(order) or len(scores) < len(rest):
             return
         ranks = {spelt: rank for rank, (spelt, _) in enumerate(order)}
         self.b_of_rank = np.array([i for _, i in order], self.b_kind)

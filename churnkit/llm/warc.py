@@ -187,7 +187,8 @@ def write_archives(
 def normalise_archives(files: DataFrame, folder: str | None = None) -> DataFrame:
     """Rewrite each file with a gzip member per record and a sidecar index: path, index, n_records, n_bytes.
 
-    The index (``.index.jsonl`` beside the archive) has a line per record: offset, length, type, id, uri.
+    The index (``.index.jsonl`` beside the archive) has a line per record: offset, length, type, id, uri. A null path fails; an
+    empty table of files gives an empty one.
     """
     folder = folder or new_path(files.sparkSession, "warc-members")
     shared_files.make_folder(folder)
@@ -229,7 +230,8 @@ def read_archives(normalised: DataFrame, records_together: int = 2000) -> DataFr
     """One row per record: page_id, url, payload_bytes, payload_digest (hex), record_type, refers_to, payload.
 
     Records are taken by the offsets in the index, ``records_together`` at a time, dealt among all tasks. A response's digest is taken anew from
-    its payload and must agree with its header. A revisit has the length and digest in its headers, and no payload.
+    its payload and must agree with its header. A revisit has the length and digest in its headers, and no payload. Pages without an
+    id come back without one. No archives give no rows.
     """
 
     def page(record_id: str | None) -> int | None:

@@ -1,11 +1,15 @@
+import math
+import re
 import zlib
 
 import cases
 import numpy as np
+import pyarrow as pa
 
 from churnkit.llm.boosted_trees import fit_forest
 from churnkit.llm.catalog import QUERIES
-from churnkit.llm.quality_model import STATISTICS, keep_good, score, train, training_sample
+from churnkit.llm.quality_model import STATISTICS, keep_good, score, statistics, train, training_sample
+from churnkit.llm.words import text_groups
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -69,3 +73,35 @@ def test_forest_learns_an_interaction():
                 node = 2 * node + 1 + (row[feature[node]] > threshold[node])
             margin += leaf[node - len(feature)]
         assert abs(forest.scores(row[None])[0] - 1 / (1 + np.exp(-margin))) < 1e-12
+
+
+def plain_statistics(text):
+    """The statistics of one text, word by word and byte by byte."""
+    raw = text.encode()
+    words = [w for w in re.split(rb"[\x20\x09-\x0d]+", raw) if w]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    lines = [x for x in raw.split(b"\n") if len(x) > 1]
+    share = lambda part, whole: part / max(whole, 1)
+    repeats = lambda items: len(items) - len(set(items))
+    count = lambda members: share(sum(raw.count(bytes([b])) for b in members), len(raw))
+    return [
+        math.log1p(len(raw)), math.log1p(len(words)), share(sum(map(len, words)), len(words)),
+        count(range(65, 91)), count(range(48, 58)), count(b"#*$%&<>@^~=+{}[]\\"), count(b".,;:?'\"-()/"), count(b"!"), count(b"|"),
+        count(range(128, 256)), count(b"\n"),
+        share(sum(len(w) <= 3 for w in words), len(words)), share(sum(len(w) > 15 for w in words), len(words)),
+        share(sum(2 * sum(65 <= b < 91 for b in w) > len(w) for w in words), len(words)),
+        1 - share(repeats(words), len(words)), share(repeats(windows), len(words)), share(repeats(lines), len(lines)),
+        share(len(words), raw.count(b"\n") + 1),
+    ]
+
+
+def test_statistics_against_plain_python():
+    odd = ["", "\n", "a\n", "\n\nab\nab\n", "ab", "AB Cd\x0b!!", "ab\nab\nx\nab", "a\n\n", " \t"]
+    texts = [t or "" for t in cases.texts()] + odd
+    found = []
+    for group in text_groups(pa.array([t.encode() for t in texts], pa.large_binary()), budget=3000):
+        found += list(statistics(group))
+    assert len(found) == len(texts)
+    for text, row in zip(texts, found, strict=True):
+        expected = plain_statistics(text) if text else [0.0] * 14 + [row[14]] + [0.0] * 3
+        assert np.allclose(row, expected), (text[:40], row, expected)
