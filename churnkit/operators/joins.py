@@ -9,7 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from churnkit.operators.order import moves_rows
 from churnkit.scratch import materialize
+from churnkit.together import together
 
 _LEFT_SALT, _RIGHT_SALT = "_left_salt", "_right_salt"
 # Keys that a sketch looks for, and items it tracks; both bound its size. Missing one changes the plan, not the rows.
@@ -58,7 +60,7 @@ def _salts(hot: Mapping[int, int], keys: Sequence[str]) -> Column:
 
 
 def _own(salts: Column) -> Column:
-    """A salt by the row's place in its written table: rows that are alike spread as well as others."""
+    """A salt by the row's place in the files it is read from: rows that are alike spread as well as others."""
     return F.pmod(F.xxhash64(F.monotonically_increasing_id()), salts).cast("int")
 
 
@@ -83,9 +85,9 @@ def salted_join(
     """Inner or left equi-join that spreads keys which are hot on either side, or on both.
 
     A hot key's rows are dealt over as many salts as its share of the rows asks for, and the other side's rows of that key
-    are repeated for each salt. Salted sides are written first and dealt by their place, so that a
-    retried task makes the same choice and equal rows spread. A key that is hot on the right is there, so
-    an inner join serves a left join for it.
+    are repeated for each salt. Rows are dealt by their place in their files, so that a retried task makes the same choice and equal
+    rows spread; a side that comes out of a shuffle or costs a join or aggregate is written first. A key that is hot
+    on the right is there, so an inner join serves a left join for it.
     """
     if how not in ("left", "inner"):
         raise ValueError("salting keeps results whole for left and inner joins only")
@@ -93,11 +95,11 @@ def salted_join(
         # A null key finds nothing.
         right = right.dropna(subset=list(on))
         left = left.dropna(subset=list(on)) if how == "inner" else left
-    if _costly(left):
-        left = materialize(left, "join")
-    if _costly(right):
-        right = materialize(right, "join")
-    hot_left, hot_right = hot_keys(left, on, tasks), hot_keys(right, on, tasks)
+    left, right = (materialize(side, "join") if _costly(side) or moves_rows(side) else side for side in (left, right))
+    hot = together(
+        left.sparkSession, {"left": lambda: hot_keys(left, on, tasks), "right": lambda: hot_keys(right, on, tasks)}
+    )
+    hot_left, hot_right = hot["left"], hot["right"]
     names_left, rest = left.columns, [c for c in right.columns if c not in on]
     kinds = dict(right.dtypes)
 
@@ -111,9 +113,6 @@ def salted_join(
 
     if not hot_left and not hot_right:
         return joined(left, right, how)
-    left = materialize(left, "join")
-    if hot_right:
-        right = materialize(right, "join")
     of_left, of_right = _salts(hot_left, on), _salts(hot_right, on)
     left = left.withColumn(_LEFT_SALT, _own(of_left) if hot_left else F.lit(0))
     right = right.withColumn(_RIGHT_SALT, _own(of_right) if hot_right else F.lit(0))
@@ -124,8 +123,7 @@ def salted_join(
         # Left rows meet every right salt, right rows every left salt: each pair in one cell.
         a = left.where(is_hot).withColumn(_RIGHT_SALT, _every(of_right))
         b = right.where(is_hot).withColumn(_LEFT_SALT, _every(of_left))
-        hot = joined(a, b, "inner", [_LEFT_SALT, _RIGHT_SALT])
-        out = out.unionAll(hot)
+        out = out.unionAll(joined(a, b, "inner", [_LEFT_SALT, _RIGHT_SALT]))
         if how == "left":
             # Only a key whose hash is that of a hot one can be missing there; there are no more such keys than hot ones.
             there = F.broadcast(right.where(is_hot).select(*on).distinct())

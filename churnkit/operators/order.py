@@ -79,7 +79,7 @@ def dense_key(
         ties = [c for c in df.columns if c not in order_by]
     order = [*order_by, *ties]
     if not distinct:
-        if _shuffles(df):
+        if moves_rows(df):
             df = materialize(df, "unkeyed")
         df = df.withColumn(_COPY, F.monotonically_increasing_id())
         order.append(_COPY)
@@ -93,7 +93,7 @@ def dense_key(
     return numbered.select((F.col(_START) + F.col(POS) + start).alias(key), *kept)
 
 
-def _shuffles(df: DataFrame) -> bool:
+def moves_rows(df: DataFrame) -> bool:
     """Whether rows arrive in an order that may change when a task is run again; plain scans keep theirs."""
     return re.search(r"\bExchange\b", df._jdf.queryExecution().executedPlan().toString()) is not None
 
