@@ -113,8 +113,9 @@ def pair_counts(tokens: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
         def rows(code: np.ndarray, n: np.ndarray, same: bool) -> Iterator[pa.RecordBatch]:
             for low in range(0, len(code), 1 << 16):
-                part = code[low : low + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), same)), pa.array(n[low : low + len(part)])], ["pair", "same", "n_docs"])
+                k = slice(low, low + (1 << 16))
+                columns = code[k], np.full(len(code[k]), same), n[k]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["pair", "same", "n_docs"])
 
         for _, found in _aligned(batches, pair):
             _, code, _ = _pairs_of(found)
@@ -150,7 +151,8 @@ def link_scores(tokens: DataFrame, pairs: DataFrame, a_path: str, b_path: str) -
     pairs = materialize(pairs, "pairs")
     size = len(token_pair(a_path, b_path).same)
     regular, top = np.zeros(size, np.int64), np.zeros(size, np.int64)
-    for r in pairs.groupBy("a").agg(F.max("n_docs").alias("top"), F.max(F.when(F.col("same"), F.col("n_docs"))).alias("regular")).collect():
+    most = F.max("n_docs").alias("top"), F.max(F.when(F.col("same"), F.col("n_docs"))).alias("regular")
+    for r in pairs.groupBy("a").agg(*most).collect():
         top[r["a"]], regular[r["a"]] = r["top"], r["regular"] or 0
     vectors = tokens.sparkSession.sparkContext.broadcast((regular, top))
 
@@ -173,7 +175,8 @@ def link_scores(tokens: DataFrame, pairs: DataFrame, a_path: str, b_path: str) -
             for low in range(0, len(rest), 1 << 16):
                 k = rest[low : low + (1 << 16)]
                 none = pa.nulls(len(k), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (row[text[k]], code[k], times[k], top[a[k]])] + [none, none], names)
+                columns = row[text[k]], code[k], times[k], top[a[k]]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), none, none], names)
 
     sent = tokens.select("row", "a_ids", "b_ids").mapInArrow(
         score, "row long, pair long, times long, top long, n_best long, count_sum long"

@@ -145,8 +145,8 @@ def fill_in_middle(
                     names=schema.names,
                 )
 
-    fields = [("n", T.LongType()), ("form", T.StringType()), ("prefix_chars", T.LongType()), ("middle_chars", T.LongType()), ("output", T.BinaryType())]
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(*f) for f in fields)])
+    made = T.StructType.fromDDL("n long, form string, prefix_chars long, middle_chars long, output binary")
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *made])
     return rows.mapInArrow(cut, schema)
 
 
