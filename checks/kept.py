@@ -212,7 +212,9 @@ SKETCHED_PROBS = (0.1, 0.25, 0.5, 0.75, 0.9)
     "quantile_merged_error",
     "WITH x AS (SELECT value FROM events) "
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, {p}::DOUBLE AS prob, count(*) AS n, true AS within FROM x" for c in ("plain", "infinite") for p in SKETCHED_PROBS
+        f"SELECT '{c}' AS column_name, {p}::DOUBLE AS prob, count(*) AS n, true AS within FROM x"
+        for c in ("plain", "infinite")
+        for p in SKETCHED_PROBS
     ),
 )
 def quantile_merged_error(spark, sf_dir):
