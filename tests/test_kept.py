@@ -14,6 +14,7 @@ from churnkit.plans import values as v
 from churnkit.plans.scoring import score_events, score_latest
 from churnkit.sinks import Ledger, ledger_sink, numbered, parquet_sink
 from churnkit.sources import read_csv, split_once
+from churnkit.sources.topics import MESSAGE_FIELDS
 from churnkit.streaming import BatchReports, late_account, late_writer, raw_writer, start_batches, unique_messages, watched
 
 
@@ -137,9 +138,16 @@ def test_sums_of_retried_and_folded_increments(spark, tmp_path):
 def test_pairs_across_increments_count(spark, tmp_path):
     """A usage event meets the network event of its time whichever comes first."""
     hour = datetime(2024, 1, 1, 5)
-    usage = spark.createDataFrame([("1", hour, 10, 50), ("1", hour + timedelta(hours=1), 30, 70)], "customer_id string, event_time timestamp, data_usage_mb int, package_usage_pct int")
-    network = spark.createDataFrame([("1", hour, 5, 100), ("1", hour, 7, 200)], "customer_id string, event_time timestamp, signal_strength int, internet_speed int")
-    calls = spark.createDataFrame([("1", 3, 60, "Yes"), ("1", None, None, None)], "customer_id string, anger_rate int, call_duration_sec int, resolved string")
+    keys = "customer_id string, event_time timestamp"
+    usage = spark.createDataFrame(
+        [("1", hour, 10, 50), ("1", hour + timedelta(hours=1), 30, 70)], f"{keys}, data_usage_mb int, package_usage_pct int"
+    )
+    network = spark.createDataFrame(
+        [("1", hour, 5, 100), ("1", hour, 7, 200)], f"{keys}, signal_strength int, internet_speed int"
+    )
+    calls = spark.createDataFrame(
+        [("1", 3, 60, "Yes"), ("1", None, None, None)], "customer_id string, anger_rate int, call_duration_sec int, resolved string"
+    )
     dims = {"dim_customer": spark.createDataFrame([(77, 1)], "customer_key long, customer_id int")}
     root = str(tmp_path)
     increments.add_events(root, 0, usage.limit(0), network, calls.where("anger_rate = 3"))
@@ -230,23 +238,25 @@ def test_each_message_once_over_batches_and_restart(spark, tmp_path):
 
     def send(*rows):
         sent = [(k, x, t, start + timedelta(minutes=m)) for k, x, t, m in rows]
-        spark.createDataFrame(sent, "key string, value string, topic string, timestamp timestamp").coalesce(1).write.mode("append").parquet(source)
+        spark.createDataFrame(sent, MESSAGE_FIELDS).coalesce(1).write.mode("append").parquet(source)
 
     def run():
-        stream = spark.readStream.schema("key string, value string, topic string, timestamp timestamp").option("maxFilesPerTrigger", 1).parquet(source)
+        stream = spark.readStream.schema(MESSAGE_FIELDS).option("maxFilesPerTrigger", 1).parquet(source)
         query = start_batches(unique_messages(stream, "1 hour"), raw_writer("m", {"files": parquet_sink(out)}), offsets, every=None)
         query.awaitTermination()
         return query
 
-    send(("a", "1", "t", 0), ("a", "1", "t", 1), ("a", "2", "t", 2), ("a", "1", "u", 3), (None, "1", "t", 4), (None, None, "t", 5), (None, "", "t", 5))
+    send(("a", "1", "t", 0), ("a", "1", "t", 1), ("a", "2", "t", 2), ("a", "1", "u", 3))
+    send((None, "1", "t", 4), (None, None, "t", 5), (None, "", "t", 5))
     send(("a", "1", "t", 20), ("b", "1", "t", 21), (None, None, "t", 22))
     run()
     send(("b", "1", "t", 40), ("a", "2", "t", 2), ("c", "1", "t", 200))
     send(("d", "1", "t", 300))
     send(("c", "1", "t", 201), ("e", "1", "t", 301))
     query = run()
-    found = sorted((r.key or "", r.value, r.topic) for r in spark.read.parquet(out).collect() if r.value is not None)
-    assert found == [("", "", "t"), ("", "1", "t"), ("a", "1", "t"), ("a", "1", "u"), ("a", "2", "t"), ("b", "1", "t"), ("c", "1", "t"), ("d", "1", "t"), ("e", "1", "t")]
+    found = sorted((r.topic, r.key or "", r.value) for r in spark.read.parquet(out).collect() if r.value is not None)
+    of_t = [("", ""), ("", "1"), ("a", "1"), ("a", "2"), ("b", "1"), ("c", "1"), ("d", "1"), ("e", "1")]
+    assert found == [("t", *m) for m in of_t] + [("u", "a", "1")]
     assert spark.read.parquet(out).where("value IS NULL").count() == 1
     # Old messages leave the state.
     assert query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
@@ -321,13 +331,12 @@ def test_distinct_sketches_merge_over_coarser_groups(spark):
 
 def test_scores_of_all_events_as_in_one_batch(spark):
     """Ties, nulls in every column, customers without calls, events without a customer."""
-    fields = "topic string, customer_id string, event_time timestamp, issue_type string, anger_rate int, call_duration_sec int, resolved string, " + (
-        "signal_strength int, dropped_calls int, internet_speed int, outage_flag int, voice_minutes int, data_usage_mb int, sms_count int, package_usage_pct int"
-    )
+    measures = [f"{m} {'string' if m in ('issue_type', 'resolved') else 'int'}" for m in v.CALL_MEASURES]
+    measures += [f"{m} int" for m in (*v.NETWORK_MEASURES, *v.USAGE_MEASURES)]
+    fields = ", ".join(["topic string, customer_id string, event_time timestamp", *measures])
     start, none = datetime(2024, 1, 1), [None] * 4
 
     def row(topic, customer, minute, measures):
-        place = list(v.TOPIC_FIELDS).index(topic)
         at = None if minute is None else start + timedelta(minutes=minute)
         order = (v.CALLS_TOPIC, v.NETWORK_TOPIC, v.USAGE_TOPIC)
         return (topic, customer, at, *[x for t in order for x in (measures if t == topic else none)])
