@@ -2,6 +2,7 @@ import random
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,6 +161,55 @@ def test_counts_beyond_the_vector_bound_nothing():
     assert count_tree.shared_at_most(a, a)[0] > 1 << 40
 
 
+@pytest.mark.parametrize(("n", "sent"), [(1_000, True), (140_000, False)])
+def test_joins_send_no_more_than_the_driver_holds(spark, n, sent):
+    """140 000 rows are 2 MB of values, but 17 MB of a hashed relation, held by the driver with the blocks it sends."""
+    right = spark.range(n).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    left = spark.range(2 * n).select((F.col("id") * 3).alias("k"))
+    met = frames.spread_join(left, right, ["k"], F.col("k"), row_bytes=16)
+    assert ("strategy=broadcast" in met._jdf.queryExecution().analyzed().toString()) == sent
+    there = range(0, n, 3)
+    assert met.agg(F.count("*"), F.count("v"), F.sum("v")).first() == (2 * n, len(there), 2 * sum(there))
+
+
+def test_keys_are_told_exactly(monkeypatch):
+    """Ids that repeat with other marks, ids of one fingerprint, and null ids."""
+    monkeypatch.setattr(ngram_join, "_named", lambda ids, marks: ((ids % 3) * 1000 + marks).astype(np.uint64))
+    rng = random.Random(8)
+    pairs = [(i, m) for i in range(-20, 40) for m in range(5)]
+    rng.shuffle(pairs)
+    kept = sorted(pairs[:120])
+    keys = ngram_join.Keys(*np.array(kept, np.int64).T)
+    rows = pairs + pairs[::3] + [(None, m) for m in range(5)]
+    part = pa.record_batch([pa.array([r[c] for r in rows], pa.int64()) for c in (0, 1)], ["_id", "_mark"])
+    assert keys.among(part).tolist() == [r in set(kept) for r in rows]
+    none = ngram_join.Keys(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert not none.among(part).any() and not keys.among(part.slice(0, 0)).any()
+
+
+def test_sketch_reaches_the_driver_in_few_jobs(spark, monkeypatch):
+    """As many jobs as the sketch has parts, not one for each shuffle partition."""
+    monkeypatch.setattr(ngram_join, "shuffle_width", lambda _: 60)
+    rng = random.Random(9)
+    docs = [(i, cases.prose(rng, 40)) for i in range(50)]
+    rows = ngram_join._rows(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), "doc_id", "text")
+    bits = ngram_join._FEWEST
+    described = ngram_join.materialize(ngram_join.describe(rows, 5, bits))
+    spark.sparkContext.setJobGroup("sketch", "sketch")
+    try:
+        found = ngram_join.frequency_classes(described, bits)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("sketch")
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            spark.sparkContext.setLocalProperty(name, None)
+    texts = pa.array([t.encode() for _, t in docs], pa.binary())
+    counts = np.zeros(1 << bits, np.int64)
+    for group in ngram_join.text_groups(texts):
+        np.add.at(counts, (ngram_join.gram_sets(group, 5)[0] >> np.uint64(64 - bits)).astype(np.int64), 1)
+    assert (found == [int(c).bit_length() for c in counts]).all()
+    assert 0 < len(jobs) < 20
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).where("a <> 150")
     found = {r.node: r.component for r in cc.components(edges).collect()}
